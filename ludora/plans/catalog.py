@@ -13,6 +13,7 @@ from ..operators import clean
 from ..sources import fixtures
 from . import base, recommend
 from .sql import metrics_ctes, with_
+from .stages import stages
 
 QUERIES: dict = {}
 R = 9
@@ -63,12 +64,12 @@ def q_audit(spark, sf):
 
 @register("wn1_holdout_test", with_(["test"], "SELECT * FROM test"))
 def q_holdout_test(spark, sf):
-    return base.split(spark, sf)[1]
+    return stages(spark, sf).test
 
 
 @register("wn1_holdout_train", with_(["train"], "SELECT * FROM train"))
 def q_holdout_train(spark, sf):
-    return base.split(spark, sf)[0]
+    return stages(spark, sf).train
 
 
 # --- content-based recommender, flagship chain ------------------------------------
@@ -110,3 +111,4 @@ def q_cbf_per_user(spark, sf):
 def q_cbf_summary(spark, sf):
     _, summ = recommend.cbf_evaluation(spark, sf)
     return summ.select("model", "k", *rnd("precision", "recall", "f1", "ndcg"))
+from . import catalog_profile  # noqa: E402,F401

@@ -7,25 +7,21 @@ from pyspark.sql import functions as F
 
 from ..models.cbf import cbf_top_k, fit_cbf
 from ..operators import metrics
-from ..operators.candidates import rank_items
-from . import base
+from .stages import stages
 
 
 def cbf_predictions(spark: SparkSession, sf_dir: str, k: int = 20) -> DataFrame:
     """RC-4 + SL-4 for every test user, candidates = all items - train items."""
-    inter = base.interactions(spark, sf_dir)
-    train, test = base.split(spark, sf_dir)
-    items = inter.select("app_id", "title")
-    model = fit_cbf(train, items)
-    users = test.select("author_id").distinct()
-    ranked = rank_items(inter.select("app_id"))
-    top = cbf_top_k(model, users, ranked, train.select("author_id", "app_id"), k)
+    st = stages(spark, sf_dir)
+    model = fit_cbf(st.train, st.items)
+    users = st.test.select("author_id").distinct()
+    top = cbf_top_k(model, users, st.ranked_items, st.train.select("author_id", "app_id"), k)
     return top.select(F.lit("CBF").alias("model"), "author_id", "app_id",
                       F.col("rank").cast("int").alias("rank"), "score")
 
 
 def cbf_evaluation(spark: SparkSession, sf_dir: str, k: int = 20, ks=metrics.DEFAULT_KS):
-    _, test = base.split(spark, sf_dir)
+    st = stages(spark, sf_dir)
     preds = cbf_predictions(spark, sf_dir, k)
-    per_user = metrics.per_user_metrics(preds, metrics.ground_truth(test), ks)
+    per_user = metrics.per_user_metrics(preds, metrics.ground_truth(st.test), ks)
     return per_user, metrics.summary(per_user)
