@@ -81,21 +81,62 @@ def null_pattern(df: DataFrame, cols) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def quantiles_by_column(df: DataFrame, cols, qs) -> DataFrame:
+    """Exact linear-interpolated quantiles of several columns in one sort.
+
+    Values are unpivoted to (column_name, v), range partitioned and sorted
+    by (column_name, v) once; a global position comes from per-partition
+    numbering plus a prefix sum of partition counts, and the position of a
+    value inside its column is that minus the column's first position.
+    -> (column_name, q<p>...)
+    """
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+    long = long.select(F.col("s.c").alias("column_name"), F.col("s.v").alias("_v"))
+    long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    parted = (long.repartitionByRange(_num_parts(df), "column_name", "_v")
+              .withColumn("_pid", F.spark_partition_id()))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy("column_name", "_v")) - 1
+    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    pos = (parted.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
+           .select("column_name", "_v", (F.col("_off") + F.col("_local")).alias("_g")))
+    # per-column size and first position: prefix sum over a table of one row per column
+    per_col = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
+    per_col = per_col.select("column_name", "_n", F.coalesce(F.sum("_n").over(
+        Window.orderBy("column_name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    pos = (pos.join(F.broadcast(per_col), "column_name")
+           .withColumn("_p", F.col("_g") - F.col("_start")))
+    outs = []
+    for q in qs:
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo = F.max(F.when(F.col("_p") == F.floor(h), F.col("_v")))
+        hi = F.max(F.when(F.col("_p") == F.ceil(h), F.col("_v")))
+        frac = F.max((F.col("_n") - 1) * F.lit(float(q)) - F.floor((F.col("_n") - 1) * F.lit(float(q))))
+        outs.append((lo + (hi - lo) * frac).alias("q" + str(int(round(q * 100)))))
+    keep = F.lit(False)
+    for q in qs:
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        keep = keep | (F.col("_p") == F.floor(h)) | (F.col("_p") == F.ceil(h))
+    return pos.where(keep).groupBy("column_name").agg(*outs)
+
+
 def describe(df: DataFrame, cols) -> DataFrame:
-    """AG-4: count, mean, std (ddof 1), min, q25/q50/q75 (linear), max per column."""
-    parts = []
-    for c in cols:
-        base = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"),
-                      F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75)).select(F.struct("*")).scalar()
-        parts.append(base.select("*", q["q25"].alias("q25"), q["q50"].alias("q50"), q["q75"].alias("q75")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("column", "count", "mean", "std", "min",
-                      F.col("q25").alias("p25"), F.col("q50").alias("p50"),
-                      F.col("q75").alias("p75"), "max")
+    """AG-4: count, mean, std (ddof 1), min, q25/q50/q75 (linear), max per column.
+
+    One aggregate for the moments and one sort for all quantiles.
+    """
+    one = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
+                            F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+                            F.max(c).cast("double").alias("max")).alias(c) for c in cols])
+    moments = (one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m"))
+                                              for c in cols])).alias("s"))
+               .select("s.column_name", "s.m.*"))
+    q = quantiles_by_column(df, cols, (0.25, 0.5, 0.75))
+    return (moments.join(q, "column_name", "left")
+            .select("column_name", "count", "mean", "std", "min",
+                    F.col("q25").alias("p25"), F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max"))
 
 
 def value_counts(df: DataFrame, col, n: int | None = None, share_of: str | None = "rows",

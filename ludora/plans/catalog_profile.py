@@ -55,7 +55,7 @@ _DESC_SQL = " UNION ALL ".join(
 
 @register("ag4_describe_merged", with_(["merged"], _DESC_SQL))
 def q_describe(s, sf):
-    d = P.describe(_merged(s, sf), NUMS).withColumnRenamed("column", "column_name")
+    d = P.describe(_merged(s, sf), NUMS)
     return d.select("column_name", "count", "min", "max", *rnd("mean", "std", "p25", "p50", "p75"))
 
 
