@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads whole files in batch and has no watermark, window,
+session or stateful operator (SURVEY 2.13), so there is nothing to build
+here.  Every job in this package is a batch DataFrame job; it could be
+driven per micro-batch with `foreachBatch` without code changes.
+"""
