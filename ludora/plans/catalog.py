@@ -113,3 +113,4 @@ def q_cbf_summary(spark, sf):
     return summ.select("model", "k", *rnd("precision", "recall", "f1", "ndcg"))
 from . import catalog_profile  # noqa: E402,F401
 from . import catalog_more  # noqa: E402,F401
+from . import catalog_extra  # noqa: E402,F401
