@@ -88,3 +88,16 @@ def fit_biased_mf(train: DataFrame, rank: int = 20, reg: float = 0.01, iters: in
     items = dense_index(r, "app_id", index_col="i")
     m = _als(resid, users, items, rank, reg, iters, seed)
     return MFModel(users, items, m.userFactors, m.itemFactors, mu, bu, bi)
+
+
+def cf_recommendations(model: MFModel, users: DataFrame, ranked_items: DataFrame, seen: DataFrame,
+                       titles: DataFrame, n: int = 10) -> DataFrame:
+    """RC-3: top-n unseen items by CF score with their titles (JN-7 + SL-4 + JN-5)."""
+    from ..operators.candidates import candidate_pool
+    from ..operators.scoring import top_k
+
+    cands = candidate_pool(users, ranked_items, seen, cap=None).select("author_id", "app_id")
+    top = top_k(model.score_pairs(cands, "score"), n)
+    t = titles.select("app_id", "title").dropDuplicates(["app_id"])
+    return (top.join(t, "app_id", "left")
+            .select("author_id", "rank", "app_id", F.coalesce("title", F.lit("Title Missing")).alias("title"), "score"))
