@@ -112,3 +112,10 @@ def coverage(preds: DataFrame, items: DataFrame) -> DataFrame:
     return preds.groupBy("model").agg(
         F.count_distinct("app_id").alias("n_recommended"),
         (F.count_distinct("app_id") / n_items).alias("coverage"))
+
+
+def preview(preds: DataFrame, users: DataFrame, n: int = 5) -> DataFrame:
+    """SL-8: for sampled users, the first n items of each model as an ordered list."""
+    top = preds.join(users.select("author_id"), "author_id", "left_semi").where(F.col("rank") <= n)
+    return top.groupBy("model", "author_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "app_id"))), lambda s: s["app_id"]).alias("top"))

@@ -265,3 +265,18 @@ def duplicate_counts(df: DataFrame, key: str) -> DataFrame:
         F.sum(F.when(F.col(key).isNotNull() & (F.col("n") > 1), F.col("n")).otherwise(0)).alias("rows_with_repeated_key"),
         F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated_keys"),
     )
+
+
+def text_columns(df: DataFrame, n: int = 5) -> list[str]:
+    """FI-8: the first n string columns, in schema order."""
+    return [name for name, t in df.dtypes if t == "string"][:n]
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """AG-34: (column_name, dtype, position) plus the dtype distribution via groupBy."""
+    rows = [(c, t, i) for i, (c, t) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(rows, "column_name string, dtype string, position int")
+
+
+def dtype_distribution(df: DataFrame) -> DataFrame:
+    return schema_profile(df).groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"))

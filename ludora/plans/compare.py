@@ -168,3 +168,16 @@ def ev14(spark, sf_dir, k=20, alpha=0.5, ks=metrics.DEFAULT_KS):
     preds = predictions(spark, sf_dir, models, users, "all", None, None, k)
     preds = materialize(preds, "ev14-preds", st.root)
     return (preds,) + evaluate(spark, sf_dir, preds, None, models, ks)
+
+
+def stacking_two_feature_set(st: Stages, seed: int = SEED) -> DataFrame:
+    """RC-14: (cf, mean-cbf, label) for every deduplicated train interaction."""
+    from ..operators.clean import dedup_first
+    fitted = fit_all(st, seed)
+    rows = dedup_first(st.train, ["author_id", "app_id"], ["id"]).select(
+        "author_id", "app_id", F.coalesce("is_positive_encoded", F.lit(0)).alias("label"))
+    cbf = fitted["cbf"]
+    s = cbf.score_pairs(fitted["cf"].score_pairs(rows, "cf"), "sim").join(cbf.n_liked(), "author_id", "left")
+    nl = F.coalesce(F.col("n_liked"), F.lit(0))
+    return s.select("author_id", "app_id", "cf",
+                    (F.col("sim") / F.when(nl > 0, nl).otherwise(F.lit(1))).alias("cbf_mean"), "label")
