@@ -25,9 +25,14 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only the columns the recommenders read are kept, so the scan prunes the
     rest; the min-max scaling of PL-2 does not change any of these.
     """
-    m = fixtures.merged(spark, sf_dir)
-    df = clean.dedup_first(m, ["id"], clean.DEDUP_ORDER)
-    df = df.where(F.col("content").isNotNull())
+    # Only whether a review has text matters here, so the text itself never
+    # crosses the dedup shuffle: ordering by the null flag keeps the same row
+    # for every output column (content sorts nulls first, as the flag does).
+    m = fixtures.merged(spark, sf_dir).select(
+        "id", "author_id", "app_id", "title", "is_positive", "positive_ratio", "price_final",
+        F.col("content").isNotNull().alias("has_content"))
+    df = clean.dedup_first(m, ["id"], ("app_id", "author_id", "is_positive", "has_content"))
+    df = df.where(F.col("has_content"))
     df = df.where(F.coalesce(F.col("positive_ratio"), F.lit(0)).between(0, 100)
                   & (F.coalesce(F.col("price_final"), F.lit(0.0)) >= 0))
     return df.select("id", "author_id", "app_id", "title",
