@@ -115,3 +115,4 @@ from . import catalog_profile  # noqa: E402,F401
 from . import catalog_more  # noqa: E402,F401
 from . import catalog_extra  # noqa: E402,F401
 from . import catalog_models  # noqa: E402,F401
+from . import catalog_tfidf  # noqa: E402,F401
