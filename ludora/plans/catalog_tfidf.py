@@ -86,3 +86,33 @@ def q_ag10(s, sf):
                  F.count_distinct("id").alias("n_ids"),
                  F.round(F.count(F.lit(1)) / F.count_distinct("app_id"), 9).alias("rows_per_game"),
                  F.round(F.count(F.lit(1)) / F.count_distinct("author_id"), 9).alias("rows_per_author"))
+
+
+@register("tf6_cosine_test_vs_train_items", with_(["train", "test", "rep", "rep_vec"], """SELECT p.author_id,
+ p.test_app, p.train_app, round(coalesce(c.cosine, 0.0), 9) AS cosine FROM p
+ LEFT JOIN (SELECT p.test_app, p.train_app, sum(a.weight * b.weight) AS cosine
+   FROM (SELECT DISTINCT test_app, train_app FROM p) p
+   JOIN rep ra ON ra.app_id = p.test_app JOIN rep_vec a ON a.title = ra.title
+   JOIN rep rb ON rb.app_id = p.train_app JOIN rep_vec b ON b.title = rb.title AND b.term = a.term
+   GROUP BY p.test_app, p.train_app) c ON c.test_app = p.test_app AND c.train_app = p.train_app""",
+    extra="""p AS (SELECT DISTINCT t.author_id, t.app_id AS test_app, r.app_id AS train_app
+ FROM test t JOIN train r ON r.author_id = t.author_id)"""))
+def q_tf6(s, sf):
+    from ..models.cbf import fit_cbf
+    from ..operators.tfidf import cosine_pairs
+    st = stages(s, sf)
+    m = fit_cbf(st.train, st.items)
+    app_vec = m.item_title.join(m.vectors, "title").select("app_id", "term", "weight")
+    pairs = (st.test.select("author_id", F.col("app_id").alias("test_app"))
+             .join(st.train.select("author_id", F.col("app_id").alias("train_app")), "author_id").distinct())
+    cos = cosine_pairs(pairs, app_vec, "test_app", "train_app", "app_id")
+    return pairs.join(cos, ["test_app", "train_app"], "left").select(
+        "author_id", "test_app", "train_app", F.round(F.coalesce("cosine", F.lit(0.0)), 9).alias("cosine"))
+
+
+@register("fn4_word_token_counts", f"""SELECT doc_id,
+ CAST(len(regexp_extract_all(lower(coalesce(text, '')), '{WORD_RE}')) AS INT) AS n_words FROM documents""")
+def q_fn4(s, sf):
+    from ..sources.tables import table
+    d = table(s, sf, "documents")
+    return d.select("doc_id", F.size(word_tokens("text")).alias("n_words"))

@@ -26,52 +26,67 @@ EV16_MODELS = ("CBF", "CF", "FM", "WordEmb", "Hybrid_simple_0.3_0.7", "Hybrid_st
 
 
 _FITTED: dict = {}
+BASE = ("cbf", "cf", "fm", "we")
+NEEDS = {"CBF": {"cbf"}, "CF": {"cf"}, "FM": {"fm"}, "WordEmb": {"we"},
+         "Hybrid_simple_0.3_0.7": {"cf", "cbf"}, "Hybrid_simple_0.5_0.5": {"cf", "cbf"},
+         "Hybrid(a=0.5)": {"cf", "cbf"}, "Hybrid_stacking": set(BASE)}
 
 
-def fit_all(st: Stages, seed: int = SEED):
-    """Fit the four base models once per stage set; fitted tables are written
-    to the stage folder so scoring never re-runs a fit's lineage."""
-    key = (st.root, seed)
-    if key in _FITTED:
-        return _FITTED[key]
+def needed(models) -> tuple:
+    want = set().union(*[NEEDS[m] for m in models])
+    return tuple(b for b in BASE if b in want)
+
+
+def fit_all(st: Stages, seed: int = SEED, which=BASE):
+    """Fit the requested base models once per stage set; fitted tables are
+    written to the stage folder so scoring never re-runs a fit's lineage."""
+    cache = _FITTED.setdefault((st.root, seed), {})
     train = st.train
 
     def m(df, name):
         return materialize(df, name, st.root)
 
-    cbf = fit_cbf(train, st.items)
-    cbf.item_title = m(cbf.item_title, "cbf_item_title")
-    cbf.vectors = m(cbf.vectors, "cbf_vectors")
-    mf = fit_mf(train, rank=20, reg=0.01, iters=15, seed=seed)
-    fm = fit_biased_mf(train, rank=8, reg=1e-4, iters=6, seed=seed)
-    for name, mod in (("cf", mf), ("fm", fm)):
-        mod.users = m(mod.users, f"{name}_users")
-        mod.items = m(mod.items, f"{name}_items")
-        mod.user_factors = m(mod.user_factors, f"{name}_user_factors")
-        mod.item_factors = m(mod.item_factors, f"{name}_item_factors")
-        if mod.user_bias is not None:
-            mod.user_bias = m(mod.user_bias, f"{name}_user_bias")
-            mod.item_bias = m(mod.item_bias, f"{name}_item_bias")
-    we = fit_embed(train, st.items, n_components=30, seed=seed)
-    we.item_emb = m(we.item_emb, "we_item_emb")
-    _FITTED[key] = {"cbf": cbf, "cf": mf, "fm": fm, "we": we}
-    return _FITTED[key]
+    if "cbf" in which and "cbf" not in cache:
+        cbf = fit_cbf(train, st.items)
+        cbf.item_title = m(cbf.item_title, "cbf_item_title")
+        cbf.vectors = m(cbf.vectors, "cbf_vectors")
+        cache["cbf"] = cbf
+    for name in ("cf", "fm"):
+        if name in which and name not in cache:
+            mod = (fit_mf(train, rank=20, reg=0.01, iters=15, seed=seed) if name == "cf"
+                   else fit_biased_mf(train, rank=8, reg=1e-4, iters=6, seed=seed))
+            mod.users = m(mod.users, f"{name}_users")
+            mod.items = m(mod.items, f"{name}_items")
+            mod.user_factors = m(mod.user_factors, f"{name}_user_factors")
+            mod.item_factors = m(mod.item_factors, f"{name}_item_factors")
+            if mod.user_bias is not None:
+                mod.user_bias = m(mod.user_bias, f"{name}_user_bias")
+                mod.item_bias = m(mod.item_bias, f"{name}_item_bias")
+            cache[name] = mod
+    if "we" in which and "we" not in cache:
+        we = fit_embed(train, st.items, n_components=30, seed=seed)
+        we.item_emb = m(we.item_emb, "we_item_emb")
+        cache["we"] = we
+    return {k: cache[k] for k in which}
 
 
 def score_candidates(grid: DataFrame, fitted) -> DataFrame:
-    """Raw base-model scores for (author_id, app_id) rows."""
-    g = fitted["cbf"].score_pairs(grid, "cbf_raw")
-    g = fitted["cf"].score_pairs(g, "cf_raw")
-    g = fitted["fm"].score_pairs(g, "fm_raw")
-    return fitted["we"].score_pairs(g, "we_raw")
+    """Raw base-model scores for (author_id, app_id) rows (only fitted models)."""
+    g = grid
+    for name in BASE:
+        if name in fitted:
+            g = fitted[name].score_pairs(g, f"{name}_raw")
+    return g
 
 
 def normalise(g: DataFrame) -> DataFrame:
     """Each base model's own per-user normalisation over the candidates."""
-    g = max_norm_per_user(g, "cbf_raw", out="cbf")
-    g = minmax_per_user(g, "cf_raw", out="cf")
-    g = minmax_per_user(g, "fm_raw", out="fm")
-    return minmax_per_user(g, "we_raw", out="we")
+    if "cbf_raw" in g.columns:
+        g = max_norm_per_user(g, "cbf_raw", out="cbf")
+    for name in ("cf", "fm", "we"):
+        if f"{name}_raw" in g.columns:
+            g = minmax_per_user(g, f"{name}_raw", out=name)
+    return g
 
 
 def meta_rows(st: Stages, fitted, n: int = 3000, seed: int = SEED) -> DataFrame:
@@ -125,7 +140,7 @@ def predictions(spark: SparkSession, sf_dir: str, models, users: DataFrame | Non
     seen = st.train.select("author_id", "app_id")
     grid = candidate_pool(users, ranked, seen, cap=candidate_limit).select("author_id", "app_id")
     grid = materialize(grid, f"grid-{universe}-{candidate_limit}-{sample_users}", st.root)
-    fitted = fit_all(st, seed)
+    fitted = fit_all(st, seed, needed(models))
     stacker = None
     if "Hybrid_stacking" in models:
         stacker = hybrid.fit_stacker(meta_rows(st, fitted, seed=seed))
@@ -173,7 +188,7 @@ def ev14(spark, sf_dir, k=20, alpha=0.5, ks=metrics.DEFAULT_KS):
 def stacking_two_feature_set(st: Stages, seed: int = SEED) -> DataFrame:
     """RC-14: (cf, mean-cbf, label) for every deduplicated train interaction."""
     from ..operators.clean import dedup_first
-    fitted = fit_all(st, seed)
+    fitted = fit_all(st, seed, ("cbf", "cf"))
     rows = dedup_first(st.train, ["author_id", "app_id"], ["id"]).select(
         "author_id", "app_id", F.coalesce("is_positive_encoded", F.lit(0)).alias("label"))
     cbf = fitted["cbf"]
