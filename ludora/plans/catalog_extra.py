@@ -140,12 +140,12 @@ def q_hybrids(s, sf):
  seen FROM (SELECT c.author_id, c.app_id, c.seen, row_number() OVER (PARTITION BY c.author_id
  ORDER BY CAST(c.seen AS INT), round(coalesce(z.raw, 0.0), 9) DESC, CAST(c.app_id AS VARCHAR)) AS rank
  FROM (SELECT u.author_id, i.app_id, EXISTS (SELECT 1 FROM train t WHERE t.author_id = u.author_id AND t.app_id = i.app_id) AS seen
-   FROM (SELECT author_id FROM test_users ORDER BY CAST(author_id AS VARCHAR) LIMIT 50) u
+   FROM test_users u
    CROSS JOIN (SELECT DISTINCT app_id FROM train) i) c
  LEFT JOIN cbf_nz z ON z.author_id = c.author_id AND z.app_id = c.app_id) WHERE rank <= 5"""))
 def q_sl5(s, sf):
     st = stages(s, sf)
-    users = first_users(st.test, 50)
+    users = st.test.select("author_id").distinct()
     grid = candidate_pool(users, st.train_ranked_items,
                           s.createDataFrame([], "author_id bigint, app_id bigint"), cap=None)
     seen = st.train.select("author_id", "app_id").distinct().withColumn("seen", F.lit(True))

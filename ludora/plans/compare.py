@@ -157,6 +157,23 @@ def evaluate(spark: SparkSession, sf_dir: str, preds: DataFrame, users: DataFram
     return per_user, metrics.summary(per_user)
 
 
+_RUNS: dict = {}
+
+
+def _memo(fn):
+    """One run per (stage set, arguments): predictions are materialised files,
+    so later queries of the same run (summary, leaderboard, pivot) reuse them."""
+    def wrapper(spark, sf_dir, *args, **kwargs):
+        key = (stages(spark, sf_dir).root, fn.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in _RUNS:
+            _RUNS[key] = fn(spark, sf_dir, *args, **kwargs)
+        return _RUNS[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@_memo
 def ev15(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAULT_KS):
     """EV-15: 7 models, candidates from train items, policy B."""
     st = stages(spark, sf_dir)
@@ -166,6 +183,7 @@ def ev15(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAU
     return (preds,) + evaluate(spark, sf_dir, preds, users, EV15_MODELS, ks)
 
 
+@_memo
 def ev16(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAULT_KS):
     """EV-16: 6 models, candidates from all items, policy B."""
     st = stages(spark, sf_dir)
@@ -175,6 +193,7 @@ def ev16(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAU
     return (preds,) + evaluate(spark, sf_dir, preds, users, EV16_MODELS, ks)
 
 
+@_memo
 def ev14(spark, sf_dir, k=20, alpha=0.5, ks=metrics.DEFAULT_KS):
     """EV-14: every test user, all unseen items, CBF / CF / Hybrid(a=alpha); policy A."""
     st = stages(spark, sf_dir)
