@@ -100,3 +100,43 @@ def test_fitted_models_properties(spark):
         a = sorted((r.author_id, r.rank, r.app_id) for r in rows if r.model == model)
         b = sorted((r.author_id, r.rank, r.app_id) for r in preds2.collect() if r.model == model)
         assert a == b, model
+
+
+def test_w2v_fallback_and_clusters(spark):
+    from ludora.models.w2v import fit_w2v, w2v_recommend
+    items, train = _frames(spark)
+    ratings = train.select("author_id", "app_id", F.col("is_positive_encoded").alias("rating"))
+    model = fit_w2v(ratings, items, n_init=2)
+    users = spark.createDataFrame([("UserA",), ("UserB",), ("UserZ",)], "author_id string")
+    recs = w2v_recommend(model, users, rank_items(items), n=2).collect()
+    by_user = {}
+    for r in recs:
+        by_user.setdefault(r.author_id, []).append(r)
+    assert "UserZ" not in by_user                  # no positive ratings -> no rows
+    for u in ("UserA", "UserB"):
+        liked = {a for uu, a in LIKES if uu == u}
+        assert len(by_user[u]) == 2
+        assert not any(r.app_id in liked for r in by_user[u])
+        assert all(0 <= r.cluster < 5 for r in by_user[u])
+        assert all((not r.is_fallback) or r.score == 0.0 for r in by_user[u])
+
+
+def test_cold_start_scores_are_zero(spark):
+    from ludora.models.mf import fit_mf
+    items, train = _frames(spark)
+    m = fit_mf(train, rank=4, iters=3)
+    pairs = spark.createDataFrame([("UserA", 100), ("Nobody", 100), ("UserA", 999)], "author_id string, app_id bigint")
+    got = {(r.author_id, r.app_id): r.cf_raw for r in m.score_pairs(pairs).collect()}
+    assert got[("Nobody", 100)] == 0.0 and got[("UserA", 999)] == 0.0
+    assert math.isfinite(got[("UserA", 100)])
+    cbf = fit_cbf(train, items, stop_words=())
+    z = {(r.author_id, r.app_id): r.cbf_raw for r in cbf.score_pairs(pairs).collect()}
+    assert z[("Nobody", 100)] == 0.0 and z[("UserA", 999)] == 0.0
+
+
+def test_order_predictions_by_score_when_no_rank(spark):
+    from ludora.operators.metrics import order_predictions
+    p = spark.createDataFrame([("m", 1, 5, 0.2), ("m", 1, 6, 0.9), ("m", 1, 7, 0.9)],
+                              "model string, author_id bigint, app_id bigint, score double")
+    got = [r.app_id for r in order_predictions(p).orderBy("pos").collect()]
+    assert got == [6, 7, 5]
