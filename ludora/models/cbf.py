@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
@@ -42,14 +42,19 @@ class CBFModel:
                 .groupBy("author_id").agg(F.count(F.lit(1)).alias("n_liked")))
 
     def score_pairs(self, pairs: DataFrame, out: str = "cbf_raw") -> DataFrame:
-        """Raw similarity sums for listed (author_id, app_id) rows; cold -> 0."""
-        p = pairs.select("author_id", "app_id").distinct()
-        pt = p.join(self.item_title, "app_id")
-        sims = (pt.join(self.vectors, "title")
+        """Raw similarity sums for listed (author_id, app_id) rows; cold -> 0.
+
+        Scores are computed once per distinct (user, title) -- items sharing
+        a title share the score (PO-5) -- and joined back to the rows.
+        """
+        pt = pairs.select("author_id", "app_id").distinct().join(self.item_title, "app_id")
+        ut = pt.select("author_id", "title").distinct()
+        sims = (ut.join(self.vectors, "title")
                 .join(self.profiles(), ["author_id", "term"])
-                .groupBy("author_id", "app_id")
+                .groupBy("author_id", "title")
                 .agg(F.sum(F.col("weight") * F.col("pw")).alias(out)))
-        return (pairs.join(sims, ["author_id", "app_id"], "left")
+        scored = pt.join(sims, ["author_id", "title"]).select("author_id", "app_id", out)
+        return (pairs.join(scored, ["author_id", "app_id"], "left")
                 .withColumn(out, F.coalesce(F.col(out), F.lit(0.0))))
 
     def nonzero_scores(self, users: DataFrame, seen: DataFrame, out: str = "cbf_raw") -> DataFrame:

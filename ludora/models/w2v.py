@@ -61,7 +61,6 @@ def w2v_recommend(model: W2VModel, users: DataFrame, ranked_items: DataFrame, n:
     from ..operators.scoring import max_norm_per_user, top_k
 
     liked = model.likes.join(users.select("author_id").distinct(), "author_id", "left_semi")
-    dims = model.items.select(F.size("unit")).first()[0]
     prof = (liked.join(model.items.select("app_id", "unit"), "app_id")
             .select("author_id", F.posexplode("unit").alias("d", "x"))
             .groupBy("author_id", "d").agg(F.sum("x").alias("x"))
@@ -82,5 +81,4 @@ def w2v_recommend(model: W2VModel, users: DataFrame, ranked_items: DataFrame, n:
     fb = scored.where(F.col("is_fallback")).withColumn("rank", F.row_number().over(
         Window.partitionBy("author_id").orderBy("_h", "app_id"))).where(F.col("rank") <= n)
     cols = ["author_id", "app_id", "title", "cluster", "score", "is_fallback", "rank"]
-    _ = dims
     return normal.select(*cols).unionByName(fb.select(*cols))

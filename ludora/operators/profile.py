@@ -50,8 +50,7 @@ def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
         h = (n - 1) * F.lit(float(q))
         lo = F.max(F.when(F.col("_pos") == F.floor(h), F.col("_v")))
         hi = F.max(F.when(F.col("_pos") == F.ceil(h), F.col("_v")))
-        name = "q" + str(q).replace("0.", "").ljust(2, "0") if q < 1 else "q100"
-        outs.append((lo + (hi - lo) * (h - F.floor(h))).cast("double").alias(name))
+        outs.append((lo + (hi - lo) * (h - F.floor(h))).cast("double").alias("q" + str(int(round(q * 100)))))
     return picked.agg(*outs)
 
 

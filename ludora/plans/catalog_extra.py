@@ -3,7 +3,7 @@ fed with deterministic scores (popularity as the CF input, `sql*`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from ..models import hybrid

@@ -3,7 +3,7 @@ CBF variants, cold start, metric tables and the full model comparisons."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from ..functions import text as TX

@@ -139,12 +139,24 @@ def predictions(spark: SparkSession, sf_dir: str, models, users: DataFrame | Non
     ranked = st.train_ranked_items if universe == "train" else st.ranked_items
     seen = st.train.select("author_id", "app_id")
     grid = candidate_pool(users, ranked, seen, cap=candidate_limit).select("author_id", "app_id")
-    grid = materialize(grid, f"grid-{universe}-{candidate_limit}-{sample_users}", st.root)
     fitted = fit_all(st, seed, needed(models))
+    if candidate_limit is not None:
+        # a capped grid is small and feeds several scorers: write it once
+        grid = materialize(grid, f"grid-{universe}-{candidate_limit}-{sample_users}", st.root)
+        scored = score_candidates(grid, fitted)
+    else:
+        # every unseen item of every user: stream the grid once; CBF scores
+        # come from the sparse non-zero table (<= users x titles rows)
+        rest = {k: v for k, v in fitted.items() if k != "cbf"}
+        scored = score_candidates(grid, rest)
+        if "cbf" in fitted:
+            nz = fitted["cbf"].nonzero_scores(users, seen)
+            scored = (scored.join(nz, ["author_id", "app_id"], "left")
+                      .withColumn("cbf_raw", F.coalesce("cbf_raw", F.lit(0.0))))
     stacker = None
     if "Hybrid_stacking" in models:
         stacker = hybrid.fit_stacker(meta_rows(st, fitted, seed=seed))
-    g = normalise(score_candidates(grid, fitted))
+    g = normalise(scored)
     long = model_scores(g, stacker, models)
     top = top_k(long, k, by=("model", "author_id"))
     return top.select("model", "author_id", "app_id", F.col("rank").cast("int").alias("rank"), "score")

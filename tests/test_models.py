@@ -140,3 +140,16 @@ def test_order_predictions_by_score_when_no_rank(spark):
                               "model string, author_id bigint, app_id bigint, score double")
     got = [r.app_id for r in order_predictions(p).orderBy("pos").collect()]
     assert got == [6, 7, 5]
+
+
+def test_ev14_grid_cbf_equals_sparse_cbf(spark):
+    """EV-14 scores CBF on the full users x unseen-items grid; the flagship
+    reaches the same top-20 without the grid.  Both must agree row by row."""
+    from ludora.plans import compare, recommend
+    from .conftest import SF_SMALL
+    preds, _, _ = compare.ev14(spark, SF_SMALL)
+    grid_cbf = sorted((r.author_id, r.rank, r.app_id, round(r.score, 9))
+                      for r in preds.where(F.col("model") == "CBF").collect())
+    sparse = sorted((r.author_id, r.rank, r.app_id, round(r.score, 9))
+                    for r in recommend.cbf_predictions(spark, SF_SMALL, 20).collect())
+    assert grid_cbf == sparse
