@@ -89,14 +89,15 @@ def one_hot(df: DataFrame, c: str = "rating", levels=None, prefix: str | None =
 def min_max_scale(df: DataFrame, columns) -> DataFrame:
     """TF-13: (x - min) / (max - min) per column; a constant column becomes 0.
 
-    One aggregate job computes all bounds as a single struct-valued scalar
-    subquery, so the scaling itself stays a narrow projection (no join).
+    Fit / transform: one aggregate job returns the 2 x len(columns) bounds
+    (a single row), which enter the projection as literals, so the scaling
+    stays a narrow projection and the input plan runs once for the fit.
     """
-    bounds = df.agg(F.struct(*[F.min(c).alias(f"mn_{c}") for c in columns],
-                             *[F.max(c).alias(f"mx_{c}") for c in columns])).scalar()
+    bounds = df.agg(*[F.min(c).alias(f"mn_{c}") for c in columns],
+                    *[F.max(c).alias(f"mx_{c}") for c in columns]).first()
     out = df
     for c in columns:
-        mn, mx = bounds[f"mn_{c}"], bounds[f"mx_{c}"]
+        mn, mx = F.lit(bounds[f"mn_{c}"]), F.lit(bounds[f"mx_{c}"])
         out = out.withColumn(c, F.when(mx > mn, (F.col(c) - mn) / (mx - mn))
                              .otherwise(F.col(c).cast("double") - mn))
     return out
@@ -104,11 +105,11 @@ def min_max_scale(df: DataFrame, columns) -> DataFrame:
 
 def standardize(df: DataFrame, columns) -> DataFrame:
     """TF-14: (x - mean) / population std; constant column -> 0."""
-    stats = df.agg(F.struct(*[F.avg(c).alias(f"mu_{c}") for c in columns],
-                            *[F.stddev_pop(c).alias(f"sd_{c}") for c in columns])).scalar()
+    stats = df.agg(*[F.avg(c).alias(f"mu_{c}") for c in columns],
+                   *[F.stddev_pop(c).alias(f"sd_{c}") for c in columns]).first()
     out = df
     for c in columns:
-        mu, sd = stats[f"mu_{c}"], stats[f"sd_{c}"]
+        mu, sd = F.lit(stats[f"mu_{c}"]), F.lit(stats[f"sd_{c}"])
         out = out.withColumn(c, F.when(sd > 0, (F.col(c) - mu) / sd).otherwise(F.lit(0.0)))
     return out
 

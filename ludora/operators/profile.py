@@ -38,7 +38,7 @@ def row_positions(df: DataFrame, col: str, pos: str = "_pos") -> DataFrame:
 
 def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
     """One row: q_<p> columns with linear interpolation (pandas / quantile_cont)."""
-    n = df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
+    n = F.lit(df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).first()[0])
     pos = row_positions(df, col)
     wanted = []
     for q in qs:
@@ -212,8 +212,8 @@ def bucket_counts(df: DataFrame, value: Column, edges, labels=None, closed: str
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """AG-18: equal-width bins between min and max, last bin closed; zeros kept."""
     v = df.select(value.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    mm = v.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
-    lo, hi = mm["lo"], mm["hi"]
+    mm = v.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    lo, hi = F.lit(mm["lo"]), F.lit(mm["hi"])
     width = (hi - lo) / bins
     b = F.when(hi > lo, F.least(F.floor((F.col("_x") - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     counts = v.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
@@ -227,8 +227,9 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
 def hist2d(df: DataFrame, x: Column, y: Column, bins_x: int, bins_y: int) -> DataFrame:
     """AG-21: bounded 2-D binning of a scatter (non-empty cells only)."""
     v = df.select(x.cast("double").alias("_x"), y.cast("double").alias("_y")).dropna()
-    mm = v.agg(F.struct(F.min("_x").alias("x0"), F.max("_x").alias("x1"),
-                        F.min("_y").alias("y0"), F.max("_y").alias("y1"))).scalar()
+    row = v.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"),
+                F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+    mm = {k: F.lit(row[k]) for k in ("x0", "x1", "y0", "y1")}
 
     def b(c, lo, hi, n):
         return F.when(hi > lo, F.least(F.floor((F.col(c) - lo) / ((hi - lo) / n)), F.lit(n - 1))).otherwise(F.lit(0))

@@ -390,8 +390,8 @@ def q_top_years(s, sf):
  (SELECT count(*) FROM reviews) - count_if(id IS NOT NULL) AS reviews_lost,
  count(DISTINCT app_id) = (SELECT count(*) FROM games) AS all_games_preserved FROM merged"""))
 def q_integration(s, sf):
-    n_rev = _reviews(s, sf).select(F.count(F.lit(1))).scalar()
-    n_games = _games(s, sf).select(F.count(F.lit(1))).scalar()
+    n_rev = F.lit(_reviews(s, sf).count())
+    n_games = F.lit(_games(s, sf).count())
     m = _merged(s, sf)
     kept = F.count_if(F.col("id").isNotNull())
     return m.agg(n_rev.alias("review_rows"), kept.alias("review_rows_kept"),
@@ -407,7 +407,8 @@ def q_integration(s, sf):
  FROM (SELECT avg(positive_ratio) AS pr, avg(user_reviews) AS ur FROM games) g,
  (SELECT avg(positive_ratio) AS pr, avg(user_reviews) AS ur FROM merged) m"""))
 def q_before_after(s, sf):
-    g = _games(s, sf).agg(F.struct(F.avg("positive_ratio").alias("pr"), F.avg("user_reviews").alias("ur"))).scalar()
+    row = _games(s, sf).agg(F.avg("positive_ratio").alias("pr"), F.avg("user_reviews").alias("ur")).first()
+    g = {"pr": F.lit(row["pr"]), "ur": F.lit(row["ur"])}
     m = _merged(s, sf)
     out = m.agg(F.avg("positive_ratio").alias("mpr"), F.avg("user_reviews").alias("mur"))
     return out.select(F.round(g["pr"], 9).alias("games_positive_ratio"), F.round("mpr", 9).alias("merged_positive_ratio"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..models.cbf import cbf_top_k, fit_cbf
+from ..models.cbf import cbf_top_k
 from ..operators import metrics
 from .stages import stages
 
@@ -13,7 +13,8 @@ from .stages import stages
 def cbf_predictions(spark: SparkSession, sf_dir: str, k: int = 20) -> DataFrame:
     """RC-4 + SL-4 for every test user, candidates = all items - train items."""
     st = stages(spark, sf_dir)
-    model = fit_cbf(st.train, st.items)
+    from .compare import fit_all   # fitted tables written once per stage set
+    model = fit_all(st, which=("cbf",))["cbf"]
     users = st.test.select("author_id").distinct()
     top = cbf_top_k(model, users, st.ranked_items, st.train.select("author_id", "app_id"), k)
     return top.select(F.lit("CBF").alias("model"), "author_id", "app_id",

@@ -34,11 +34,15 @@ def main():
         text = buf.getvalue()
         with open(os.path.join(out, f"{name}.txt"), "w") as f:
             f.write(text)
-        count = {k: len(re.findall(k, text)) for k in (
-            r"Exchange hashpartitioning", r"Exchange rangepartitioning", r"Exchange SinglePartition",
-            r"BroadcastExchange", r"SortMergeJoin", r"BroadcastHashJoin", r"WindowGroupLimit",
-            r"CartesianProduct", r"BroadcastNestedLoopJoin", r"PushedFilters: \[[^\]]")}
-        print(name, {k.split(" ")[-1].strip("\\[^]"): v for k, v in count.items() if v})
+        nodes = re.findall(r"^\(\d+\) ([A-Za-z]+)", text, re.M)
+        summary = {}
+        for n in nodes:
+            summary[n] = summary.get(n, 0) + 1
+        keep = ("Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
+                "Window", "WindowGroupLimit", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan")
+        exch = re.findall(r"Arguments: (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", text)
+        print(name, {k: v for k, v in summary.items() if k in keep},
+              {e: exch.count(e) for e in set(exch)}, "pushed filters:", len(re.findall(r"PushedFilters: \[[^\]]", text)))
 
 
 if __name__ == "__main__":
