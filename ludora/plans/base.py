@@ -9,10 +9,9 @@ from ..operators import clean
 from ..operators.split import temporal_holdout
 from ..sources import fixtures
 
-# The rating levels of the fixture `games` view (p_type values),
-# sorted as the one-hot encoding sorts them.  Passing them skips the
-# bounded distinct collect; None derives them from the data.
-FIXTURE_RATINGS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+# Passing the fixture's rating levels skips the bounded distinct collect of
+# the one-hot encoding; None derives them from the data.
+FIXTURE_RATINGS = fixtures.FIXTURE_RATINGS
 
 
 def preprocessed(spark: SparkSession, sf_dir: str, ratings=FIXTURE_RATINGS) -> DataFrame:

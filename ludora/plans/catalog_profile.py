@@ -13,6 +13,20 @@ NUMS = ("positive_ratio", "user_reviews", "price_final", "price_original", "disc
 PLATFORMS = ("win", "mac", "linux", "steam_deck")
 
 
+# Bucket edges of the reference's profiling reports (the labels are ours)
+# (review volume, price, text length, reviewer activity, positive-ratio cut).
+_REV_EDGES = (10, 100, 1000, 10000, 100000, None)
+_REV_LABELS = ("10-99", "100-999", "1k-9.9k", "10k-99.9k", "100k+")
+_PRICE_EDGES = (0.01, 5, 10, 20, 40, None)
+_PRICE_LABELS = ("0.01-4.99", "5-9.99", "10-19.99", "20-39.99", "40+")
+_LEN_EDGES = (None, 10, 50, 200, 1000, None)
+_LEN_LABELS = ("<10", "10-49", "50-199", "200-999", "1000+")
+_ACT_EDGES = (1, 2, 6, 11, None)
+_ACT_LABELS = ("1", "2-5", "6-10", ">10")
+_CUT_EDGES = (0, 20, 40, 60, 80, 100)
+_CUT_LABELS = ("0-20", "20-40", "40-60", "60-80", "80-100")
+
+
 def _games(s, sf):
     return fixtures.games(s, sf)
 
@@ -173,8 +187,6 @@ def _bucket_q(df, value, edges, labels, closed="left"):
     return P.bucket_counts(df, value, edges, labels, closed).select("bucket_no", "bucket", "count", *rnd("share_pct"))
 
 
-_REV_EDGES = (10, 100, 1000, 10000, 100000, None)
-_REV_LABELS = ("10-99", "100-999", "1k-9.9k", "10k-99.9k", "100k+")
 
 
 @register("ag14_review_volume_buckets", with_(["games"], _bucket_sql("games", "user_reviews", _REV_EDGES, _REV_LABELS)))
@@ -182,8 +194,6 @@ def q_rev_buckets(s, sf):
     return _bucket_q(_games(s, sf), F.col("user_reviews"), _REV_EDGES, _REV_LABELS)
 
 
-_PRICE_EDGES = (0.01, 5, 10, 20, 40, None)
-_PRICE_LABELS = ("0.01-4.99", "5-9.99", "10-19.99", "20-39.99", "40+")
 
 
 @register("ag14_price_buckets", with_(["games"], _bucket_sql("games", "price_final", _PRICE_EDGES, _PRICE_LABELS)))
@@ -191,8 +201,6 @@ def q_price_buckets(s, sf):
     return _bucket_q(_games(s, sf), F.col("price_final"), _PRICE_EDGES, _PRICE_LABELS)
 
 
-_LEN_EDGES = (None, 10, 50, 200, 1000, None)
-_LEN_LABELS = ("<10", "10-49", "50-199", "200-999", "1000+")
 
 
 @register("ag15_text_length_buckets", with_(["reviews"], _bucket_sql(
@@ -203,8 +211,6 @@ def q_len_buckets(s, sf):
     return _bucket_q(r, F.char_length("content"), _LEN_EDGES, _LEN_LABELS)
 
 
-_ACT_EDGES = (1, 2, 6, 11, None)
-_ACT_LABELS = ("1", "2-5", "6-10", ">10")
 
 
 @register("ag16_reviewer_activity", with_(["reviews"], _bucket_sql(
@@ -215,8 +221,6 @@ def q_activity(s, sf):
     return _bucket_q(per, F.col("n"), _ACT_EDGES, _ACT_LABELS)
 
 
-_CUT_EDGES = (0, 20, 40, 60, 80, 100)
-_CUT_LABELS = ("0-20", "20-40", "40-60", "60-80", "80-100")
 
 
 @register("ag17_ratio_cut", with_(["games"], _bucket_sql("games", "positive_ratio", _CUT_EDGES, _CUT_LABELS, "right")))

@@ -21,15 +21,23 @@ from ..operators.split import first_users, hash_sample
 from .stages import Stages, materialize, stages
 
 SEED = 42
-EV15_MODELS = ("CBF", "CF", "FM", "WordEmb", "Hybrid_simple_0.3_0.7", "Hybrid_simple_0.5_0.5", "Hybrid_stacking")
-EV16_MODELS = ("CBF", "CF", "FM", "WordEmb", "Hybrid_simple_0.3_0.7", "Hybrid_stacking")
+
+# Model labels as they appear in the reference's prediction and
+# metric tables.
+CBF, CF, FM, WORD_EMB = "CBF", "CF", "FM", "WordEmb"
+HYBRID_03, HYBRID_05, STACKING = "Hybrid_simple_0.3_0.7", "Hybrid_simple_0.5_0.5", "Hybrid_stacking"
+HYBRID_ALPHA = "Hybrid(a=0.5)"
+
+EV15_MODELS = (CBF, CF, FM, WORD_EMB, HYBRID_03, HYBRID_05, STACKING)
+EV16_MODELS = (CBF, CF, FM, WORD_EMB, HYBRID_03, STACKING)
+EV14_MODELS = (CBF, CF, HYBRID_ALPHA)
 
 
 _FITTED: dict = {}
 BASE = ("cbf", "cf", "fm", "we")
-NEEDS = {"CBF": {"cbf"}, "CF": {"cf"}, "FM": {"fm"}, "WordEmb": {"we"},
-         "Hybrid_simple_0.3_0.7": {"cf", "cbf"}, "Hybrid_simple_0.5_0.5": {"cf", "cbf"},
-         "Hybrid(a=0.5)": {"cf", "cbf"}, "Hybrid_stacking": set(BASE)}
+NEEDS = {CBF: {"cbf"}, CF: {"cf"}, FM: {"fm"}, WORD_EMB: {"we"},
+         HYBRID_03: {"cf", "cbf"}, HYBRID_05: {"cf", "cbf"}, HYBRID_ALPHA: {"cf", "cbf"},
+         STACKING: set(BASE)}
 
 
 def needed(models) -> tuple:
@@ -107,25 +115,25 @@ def meta_rows(st: Stages, fitted, n: int = 3000, seed: int = SEED) -> DataFrame:
 def model_scores(g: DataFrame, stacker, models) -> DataFrame:
     """Wide table -> long (model, author_id, app_id, score)."""
     cols = {}
-    if "CBF" in models:
-        cols["CBF"] = F.col("cbf")
-    if "CF" in models:
-        cols["CF"] = F.col("cf")
-    if "FM" in models:
-        cols["FM"] = F.col("fm")
-    if "WordEmb" in models:
-        cols["WordEmb"] = F.col("we")
-    if "Hybrid_simple_0.3_0.7" in models:
-        cols["Hybrid_simple_0.3_0.7"] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.3)
-    if "Hybrid(a=0.5)" in models:
-        cols["Hybrid(a=0.5)"] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.5)
-    if "Hybrid_simple_0.5_0.5" in models:
+    if CBF in models:
+        cols[CBF] = F.col("cbf")
+    if CF in models:
+        cols[CF] = F.col("cf")
+    if FM in models:
+        cols[FM] = F.col("fm")
+    if WORD_EMB in models:
+        cols[WORD_EMB] = F.col("we")
+    if HYBRID_03 in models:
+        cols[HYBRID_03] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.3)
+    if HYBRID_ALPHA in models:
+        cols[HYBRID_ALPHA] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.5)
+    if HYBRID_05 in models:
         g = hybrid.weighted_renormalized(g, "cf", "cbf", 0.5, "h05")
-        cols["Hybrid_simple_0.5_0.5"] = F.col("h05")
-    if "Hybrid_stacking" in models:
+        cols[HYBRID_05] = F.col("h05")
+    if STACKING in models:
         g = hybrid.stacked_score(g, stacker, out="stack_p")
         g = minmax_per_user(g, "stack_p")
-        cols["Hybrid_stacking"] = F.col("stack_p")
+        cols[STACKING] = F.col("stack_p")
     pairs = F.array(*[F.struct(F.lit(name).alias("model"), c.cast("double").alias("score"))
                       for name, c in cols.items()])
     return g.select("author_id", "app_id", F.inline(pairs))
@@ -154,7 +162,7 @@ def predictions(spark: SparkSession, sf_dir: str, models, users: DataFrame | Non
             scored = (scored.join(nz, ["author_id", "app_id"], "left")
                       .withColumn("cbf_raw", F.coalesce("cbf_raw", F.lit(0.0))))
     stacker = None
-    if "Hybrid_stacking" in models:
+    if STACKING in models:
         stacker = hybrid.fit_stacker(meta_rows(st, fitted, seed=seed))
     g = normalise(scored)
     long = model_scores(g, stacker, models)
@@ -210,7 +218,7 @@ def ev14(spark, sf_dir, k=20, alpha=0.5, ks=metrics.DEFAULT_KS):
     """EV-14: every test user, all unseen items, CBF / CF / Hybrid(a=alpha); policy A."""
     st = stages(spark, sf_dir)
     users = st.test.select("author_id").distinct()
-    models = ("CBF", "CF", "Hybrid(a=0.5)")
+    models = EV14_MODELS
     preds = predictions(spark, sf_dir, models, users, "all", None, None, k)
     preds = materialize(preds, "ev14-preds", st.root)
     return (preds,) + evaluate(spark, sf_dir, preds, None, models, ks)

@@ -8,10 +8,10 @@ plain SQL so every check runs from the base tables.
 from __future__ import annotations
 
 from ..functions.stopwords import sql_list
-from ..sources.fixtures import GAMES_SQL, MERGED_SQL, REVIEWS_SQL
+from ..sources.fixtures import FIXTURE_RATINGS, GAMES_SQL, MERGED_SQL, REVIEWS_SQL
 
 WORD_RE = r"[\p{L}\p{N}_]{2,}"
-RATINGS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+RATINGS = FIXTURE_RATINGS
 _ORDER = "app_id ASC NULLS FIRST, author_id ASC NULLS FIRST, is_positive ASC NULLS FIRST, content ASC NULLS FIRST"
 _ONEHOT = ", ".join(f"coalesce(rating = '{r}', false) AS \"rating_{r}\"" for r in RATINGS)
 

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from .tables import table
 
+# The rating levels of the fixture `games` view (the p_type values
+# of the driver's part table), sorted as the one-hot encoding sorts them.
+FIXTURE_RATINGS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
 GAMES_COLUMNS = [
     "app_id", "title", "date_release", "win", "mac", "linux", "steam_deck",
     "rating", "positive_ratio", "user_reviews", "price_final",
