@@ -86,3 +86,17 @@ def test_encoding_fallback_reads_cp949(spark):
     finally:
         spark.conf.set("spark.sql.legacy.javaCharsets", prev)
     assert got == "좋은 게임"
+
+
+def test_profile_bundle_runs_for_each_kind(spark):
+    """PL-3: every table of the profile bundle evaluates for games / reviews / merged."""
+    from ludora.plans.reports import profile
+    from ludora.sources import fixtures
+    from .conftest import SF_SMALL
+    for kind, df in (("games", fixtures.games(spark, SF_SMALL)), ("reviews", fixtures.reviews(spark, SF_SMALL)),
+                     ("merged", fixtures.merged(spark, SF_SMALL))):
+        tables = profile(df, kind)
+        assert "nulls" in tables and "shape" in tables
+        for name, t in tables.items():
+            t.collect()
+        assert tables["shape"].first().n_rows == df.count()
