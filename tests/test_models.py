@@ -153,3 +153,16 @@ def test_ev14_grid_cbf_equals_sparse_cbf(spark):
     sparse = sorted((r.author_id, r.rank, r.app_id, round(r.score, 9))
                     for r in recommend.cbf_predictions(spark, SF_SMALL, 20).collect())
     assert grid_cbf == sparse
+
+
+def test_fm_features_and_optional_fit(spark):
+    from ludora.models.fm_features import build_features, fit_fm
+    items, train = _frames(spark)
+    feats, summary = build_features(train, items)
+    s = summary.first()
+    # 3 users, 6 items, 6 compact titles, each block + one 'unseen' slot
+    assert (s.n_user_features, s.n_item_features, s.n_title_features) == (4, 7, 7)
+    assert s.n_features == 18 and s.n_rows == len(LIKES)
+    model = fit_fm(feats, max_iter=5)
+    preds = model.transform(feats).collect()
+    assert all(math.isfinite(r.prediction) for r in preds)
