@@ -17,16 +17,12 @@ from pyspark.sql import functions as F
 
 
 
-def _num_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def row_positions(df: DataFrame, col: str, pos: str = "_pos") -> DataFrame:
     """(value, 0-based position in ascending order) for the non-null values."""
     vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
     if "double" in dict(vals.dtypes)["_v"] or "float" in dict(vals.dtypes)["_v"]:
         vals = vals.where(~F.isnan("_v"))
-    parted = vals.repartitionByRange(_num_parts(df), "_v").withColumn("_pid", F.spark_partition_id())
+    parted = vals.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id())
     local = F.row_number().over(Window.partitionBy("_pid").orderBy("_v")) - 1
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
@@ -92,7 +88,7 @@ def quantiles_by_column(df: DataFrame, cols, qs) -> DataFrame:
         F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     long = long.select(F.col("s.c").alias("column_name"), F.col("s.v").alias("_v"))
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    parted = (long.repartitionByRange(_num_parts(df), "column_name", "_v")
+    parted = (long.repartitionByRange("column_name", "_v")
               .withColumn("_pid", F.spark_partition_id()))
     local = F.row_number().over(Window.partitionBy("_pid").orderBy("column_name", "_v")) - 1
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

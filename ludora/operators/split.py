@@ -49,7 +49,6 @@ def dense_index(df: DataFrame, key: str, order=None, index_col: str = "idx") ->
     its broadcast is bounded by the partition count) shifts them into one
     global sequence.  All JVM-side; no single-task global window.
     """
-    spark = df.sparkSession
     if order is None:
         keyed = df.select(key).where(F.col(key).isNotNull()).distinct()
         sort_cols = [key]
@@ -57,8 +56,7 @@ def dense_index(df: DataFrame, key: str, order=None, index_col: str = "idx") ->
         keyed = (df.where(F.col(key).isNotNull()).groupBy(key)
                  .agg(F.min(order).alias("_first")))
         sort_cols = ["_first", key]
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = (keyed.repartitionByRange(n_parts, *sort_cols)
+    parted = (keyed.repartitionByRange(*sort_cols)
               .withColumn("_pid", F.spark_partition_id()))
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(*sort_cols)) - 1
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
