@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,7 @@ class ToxicityModel:
                 self.known.clear()
             near = self.index.nearest(self.vector(counts), NEIGHBOURS)
             # distance-weighted votes, each class at its share among all labelled rows
-            votes = [(1 / (1.05 - s) * self.weights[self.labels[i]], self.labels[i]) for s, i in near]
+            votes = [(s * s / (1.05 - s) * self.weights[self.labels[i]], self.labels[i]) for s, i in near]
             mass = PRIOR * sum(self.weights.values()) / max(1, len(self.weights))
             score = (sum(v * y for v, y in votes) + mass * self.prior) / (sum(v for v, _ in votes) + mass)
             self.known[key] = float(score), [(self.ids[i], float(s), self.labels[i]) for s, i in near]
@@ -135,21 +136,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     shares = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     examples: list[tuple[int, int, Counter]] = []
+    held: list[dict[str, set]] = [{}, {}]
+    kins: list[set] = [set(), set()]
     weights = {}
     for label, n in sorted(shares.items()):
         ids = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select("doc_id")
         # terms are counted in the executors: the driver gets counts, not texts
-        part = rows.join(F.broadcast(ids), "doc_id").mapInArrow(_example_counts, "doc_id long, terms array<string>, counts array<long>").collect()
+        part = rows.join(F.broadcast(ids), "doc_id").mapInArrow(_example_counts, "doc_id long, kin long, terms array<string>, counts array<long>").collect()
         got = sorted(((r.doc_id, label, Counter(dict(zip(r.terms, r.counts, strict=True)))) for r in part), key=lambda x: (x[0], sorted(x[2].items())))
         examples += got
+        for r in part:
+            kins[label].add(r.kin)
+            for term in r.terms:
+                held[label].setdefault(term, set()).add(r.kin)
         weights[label] = n / max(1, len(got))
-    tally = [Counter(), Counter()]
-    for _, y, counts in examples:
-        tally[y].update(counts.keys())
-    n1, n = sum(y for _, y, _ in examples), len(examples)
+    # near copies count once, or each word of a much copied text would look telling
+    n1, n = len(kins[1]), len(kins[0]) + len(kins[1])
     scored = []
-    for term in set(tally[0]) | set(tally[1]):
-        a, b = tally[1][term], tally[0][term]
+    for term in held[0].keys() | held[1].keys():
+        a, b = len(held[1].get(term, ())), len(held[0].get(term, ()))
         if a + b > 2 and 0 < n1 < n and a + b < n:
             share = (a + b) / n
             z2 = (a / n1 - b / (n - n1)) ** 2 / (share * (1 - share) * (1 / n1 + 1 / (n - n1)))
@@ -163,10 +168,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     return ToxicityModel(vocabulary, idf, [i for i, _, _ in examples], [y for _, y, _ in examples], weights, chosen)
 
 
+def _kin(text: str) -> int:
+    """Smallest hash of the text's five-word shingles: most near copies share it."""
+    words = text.split()
+    return min((crc32(" ".join(words[k: k + 5]).encode()) for k in range(max(1, len(words) - 4))), default=0)
+
+
 def _example_counts(batches):
     for batch in batches:
         counts = [term_counts(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "terms": pa.array([list(c) for c in counts], pa.list_(pa.string())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
+        kin = [_kin(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "kin": pa.array(kin, pa.int64()), "terms": pa.array([list(c) for c in counts], pa.list_(pa.string())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int64())]))
