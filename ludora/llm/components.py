@@ -13,8 +13,11 @@ def _both(links: DataFrame) -> DataFrame:
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
-    """Each pair with the smallest of `a` and all its partners; a hub's rows are a skewed side that AQE splits."""
-    least = pairs.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    """Each pair with the smallest of `a` and all its partners.
+
+    The minima are written first: then a hub's pairs are a skewed join side that AQE can split.
+    """
+    least = materialise(pairs.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
     return pairs.join(least, "a")
 
 

@@ -176,7 +176,8 @@ def write_warc(rows: DataFrame, path: str, key: str, uri: str, payload: str, sha
     rows = rows.select(F.col(key).cast("long").alias("key"), F.col(uri).cast("string").alias("uri"), body.alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
     narrow = materialise(rows.select("key", "digest", F.octet_length("payload").cast("long").alias("size")), "payloads")
-    last = narrow.where(F.col("size") >= min_revisit_bytes).groupBy("digest", "size").agg(F.max("key").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null")
+    groups = narrow.where(F.col("size") >= min_revisit_bytes).groupBy("digest", "size").agg(F.max("key").alias("refers_to"), F.count("*").alias("n"))
+    last = materialise(groups.where("n > 1 and refers_to is not null"), "groups")  # written, so that a hot digest's join can be split
     decisions = narrow.join(last, ["digest", "size"]).where(~F.col("key").eqNullSafe(F.col("refers_to"))).select("key", "digest", "refers_to").distinct()
     total = narrow.agg(F.sum("size")).first()[0] or 0
     n_shards = total // shard_bytes + 1
