@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -36,10 +37,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner drop the shuffle files of finished phases.
 
     The cleaner acts when the driver's references are collected; a driver with
-    little garbage would keep those files until the session ends.
+    little garbage would keep those files until the session ends.  The second round
+    gets what only the first has set free (plans that hold their exchanges).
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def text_of(name: str = "text") -> Column:
@@ -61,10 +65,8 @@ def long_values(column: pa.Array, null: int) -> np.ndarray:
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
-    """Finaliser with full avalanche on unsigned 64-bit lanes."""
-    x = x ^ (x >> np.uint64(31))
+    """Mixes unsigned 64-bit lanes; the high bits depend on all others."""
     x = x * np.uint64(0x9E6C63D0876A9A47)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xD2B74407B1CE6E93)
     x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD2B74407B1CE6E93)
     return x

@@ -12,7 +12,7 @@ the window's content only, so equal windows always meet.
   smaller id needs no trip: all its windows are repeats.  A passage in a third
   of all documents therefore sends a row per task, not per document.
 * A task sends one compressed row per bucket and flush, not one per run.
-* A document is known by (id, 32 bits of its text's hash), so that rows that
+* A document is known by (id, 16 bits of its text's hash), so that rows that
   repeat an id with another text keep their own result.
 """
 
@@ -31,16 +31,16 @@ from ludora.llm.common import NO_ID, binary_values, long_values, materialise, mi
 #: An m-mer that leads more than this share of all runs counts as frequent; at most as many exist.
 FREQUENT_SHARE = 1 << 16
 #: Bytes of packed runs that a task holds before it sends them.
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 32 << 20
 #: Bytes of text that numpy works on at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Bytes of text that the last step holds at a time (documents of one origin).
 ORIGIN_BYTES = 8 << 20
 
 ROW = "bucket long, packed binary, meta binary"
 SPANS = "origin long, spans binary"
-_META = (("size", "<u4"), ("doc", "<i8"), ("key", "<u4"), ("start", "<i8"), ("count", "<u4"))
-_SPAN = (("doc", "<i8"), ("key", "<u4"), ("start", "<i8"), ("count", "<u4"))
+_META = (("over", "<u4"), ("doc", "<i8"), ("key", "<u2"), ("start", "<i8"), ("count", "<u4"))  # over: bytes above one per window
+_SPAN = (("doc", "<i8"), ("key", "<u2"), ("start", "<i8"), ("count", "<u4"))
 
 
 @dataclass
@@ -108,22 +108,25 @@ def run_bounds(minimiser: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _pack(columns, fields) -> bytes:
-    """Columns as one compressed block; ids and places as differences, which are small."""
-    raw = b"".join(np.diff(c, prepend=c.dtype.type(0)).tobytes() if name == "doc" else c.tobytes()
-                   for c, (name, kind) in ((np.asarray(columns[n]).astype(k), (n, k)) for n, k in fields))
-    return len(columns["doc"]).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    """Columns as one compressed block: byte by byte, ids as differences, so that most bytes are alike."""
+    raw = []
+    for name, kind in fields:
+        column = np.asarray(columns[name]).astype(kind)
+        column = np.diff(column, prepend=column.dtype.type(0)) if name == "doc" else column
+        raw.append(np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes())
+    return len(columns["doc"]).to_bytes(8, "little") + pa.compress(b"".join(raw), codec="zstd", asbytes=True)
 
 
 def _unpack(block: bytes, fields) -> dict[str, np.ndarray]:
     n = int.from_bytes(block[:8], "little")
     width = sum(np.dtype(kind).itemsize for _, kind in fields)
-    raw = pa.decompress(block[8:], decompressed_size=n * width, codec="zstd", asbytes=True) if n else b""
+    raw = np.frombuffer(pa.decompress(block[8:], decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
     out, at = {}, 0
     for name, kind in fields:
-        size = np.dtype(kind).itemsize * n
-        column = np.frombuffer(raw[at: at + size], dtype=kind)
+        size = np.dtype(kind).itemsize
+        column = np.ascontiguousarray(raw[at: at + size * n].reshape(size, n).T).view(kind).ravel()
         out[name] = np.cumsum(column) if name == "doc" else column
-        at += size
+        at += size * n
     return out
 
 
@@ -151,15 +154,25 @@ def _count_leaders(pieces_of: Pieces, cut: Cut):
     def count(batches):
         order, mers, counts, runs = Order([]), np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         units = size = 0
-        for _, _, pieces in _chunks(batches, pieces_of):
-            seg, n = cut(pieces, order)
-            units, size, runs = units + n, size + sum(len(p.data) for p in pieces), runs + len(seg.first)
-            one, n1 = np.unique(seg.minimiser, return_counts=True)
+        held: list[np.ndarray] = []
+
+        def merge():
+            nonlocal mers, counts, held
+            one, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            held = []
             mers, place = np.unique(np.concatenate((mers, one)), return_inverse=True)
-            counts = np.bincount(place, np.concatenate((counts, n1))).astype(np.int64)
+            counts = np.bincount(place, np.concatenate((counts, n)), minlength=len(mers)).astype(np.int64)
             if len(mers) > 1 << 20:  # what a count can lose here is far below the share asked for
                 keep = counts > runs // (16 * FREQUENT_SHARE) + 1
                 mers, counts = mers[keep], counts[keep]
+
+        for _, _, pieces in _chunks(batches, pieces_of):
+            seg, n = cut(pieces, order)
+            units, size, runs = units + n, size + sum(len(p.data) for p in pieces), runs + len(seg.first)
+            held.append(seg.minimiser)
+            if sum(map(len, held)) > 1 << 20:
+                merge()
+        merge()
         keep = counts > max(2, runs // (2 * FREQUENT_SHARE))
         yield pa.RecordBatch.from_pydict({"mer": pa.array(mers[keep].view(np.int64)), "n": pa.array(counts[keep])})
         yield pa.RecordBatch.from_pydict({"mer": pa.array([-1, -2, -3]), "n": pa.array([units, size, runs])})
@@ -192,7 +205,7 @@ def _send(pieces_of: Pieces, cut: Cut, frequent: list[int], n_buckets: int, n_or
                 yield from _span_rows({"doc": doc[followers], "key": keys[rows][followers], "start": seg.start[followers], "count": seg.count[followers]}, n_origins, ROW)
             own = np.flatnonzero(~followers)
             packed += [slices[i] for i in own.tolist()]
-            held.append({"bucket": mix64(seg.minimiser[own]) % np.uint64(n_buckets), "size": (seg.last - seg.first)[own], "doc": doc[own], "key": keys[rows][own], "start": seg.start[own], "count": seg.count[own]})
+            held.append({"bucket": mix64(seg.minimiser[own]) % np.uint64(n_buckets), "over": (seg.last - seg.first - seg.count)[own], "doc": doc[own], "key": keys[rows][own], "start": seg.start[own], "count": seg.count[own]})
             size += int((seg.last - seg.first)[own].sum())
             if size >= FLUSH_BYTES:
                 yield from _flush(held, packed)
@@ -243,9 +256,9 @@ def _match(repeats, n_origins: int):
         if bucket < 0:
             return pa.table({"origin": pa.array([-1 - bucket] * table.num_rows, pa.int64()), "spans": table.column("meta")})
         metas = [_unpack(x, _META) for x in table.column("meta").to_pylist()]
-        data = b"".join(pa.decompress(x, decompressed_size=int(m["size"].sum()), codec="zstd", asbytes=True) for x, m in zip(table.column("packed").to_pylist(), metas, strict=True))
+        data = b"".join(pa.decompress(x, decompressed_size=int(m["over"].sum() + m["count"].sum()), codec="zstd", asbytes=True) for x, m in zip(table.column("packed").to_pylist(), metas, strict=True))
         meta = {name: np.concatenate([m[name] for m in metas]) for name, _ in _META}
-        run, at = repeats(data, meta["size"].astype(np.int64), meta["count"].astype(np.int64), meta["doc"])
+        run, at = repeats(data, meta["over"].astype(np.int64) + meta["count"], meta["count"].astype(np.int64), meta["doc"])
         # neighbouring windows of a run become one span
         order = np.lexsort((at, run))
         run, at = run[order], at[order]
@@ -274,7 +287,7 @@ def repeated_spans(docs: DataFrame, pieces_of: Pieces, cut: Cut, repeats, window
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("key", F.xxhash64("text").bitwiseAND(0xFFFFFFFF))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("key", F.xxhash64("text").bitwiseAND(0xFFFF))
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, n_origins: int, width: int, finish, schema: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Equal groups of suffixes, ordered only through `width` bytes, are exactly the
 repeated windows.  Runs of neighbouring suffixes travel together (see `runs`);
-each bucket sorts its suffixes most significant digit first, eight bytes a
-pass.  A suffix that is alone in its group leaves the sort, and a group whose
+in each bucket a first pass deals the suffixes by a hash of three of their digits,
+then passes go from the most significant digit of eight bytes to the last within
+`width`.  A suffix that is alone in its group leaves the sort, and a group whose
 members agree in a digit needs no sorting in that pass.
 """
 
@@ -16,15 +17,19 @@ from pyspark.sql import DataFrame
 from ludora.llm.common import mix64
 from ludora.llm.runs import CHUNK_BYTES, Order, Piece, Segments, apply_spans, keyed, repeated_spans, run_bounds, sliding_min
 
-#: Bytes of an m-mer: two loads of eight bytes that overlap in four.
-MER = 12
+#: Bytes of an m-mer.
+MER = 8
 WINDOWS_PER_BUCKET = 1_500_000
 
 
-def _loads(data: np.ndarray) -> np.ndarray:
-    """The eight bytes at each place as a number whose order is the bytes' order."""
-    data = np.concatenate((data, np.zeros(8, np.uint8)))
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[:-1]).view(">u8").ravel().astype(np.uint64)
+def _loads(data: bytes) -> np.ndarray:
+    """The eight bytes at each place as a number (of reversed byte order: see `byteswap` where the order counts)."""
+    n = -(-len(data) // 8)
+    padded = data + bytes(8 * n + 8 - len(data))
+    out = np.empty((n, 8), np.uint64)
+    for k in range(8):
+        out[:, k] = np.frombuffer(padded, "<u8", n, k)
+    return out.ravel()[: len(data)]
 
 
 def _digit_places(width: int) -> list[int]:
@@ -51,9 +56,7 @@ def _cut(width: int):
         if not total:
             none = np.zeros(0, np.int64)
             return Segments(data, none, none, none.astype(np.uint64), none, none, none), 0
-        load = _loads(np.frombuffer(data, np.uint8))
-        hashes = mix64(load[: len(load) - 4] * np.uint64(0xA24BAED4963EE407) + mix64(load[4:]))
-        least = sliding_min(order.rank(hashes), width - MER + 1)[place]
+        least = sliding_min(order.rank(mix64(_loads(data)[: len(data) - MER + 1])), width - MER + 1)[place]
         first, count = run_bounds(least, place)
         piece = np.repeat(np.arange(len(pieces)), windows)[first]
         at = place[first]
@@ -64,48 +67,50 @@ def _cut(width: int):
 
 
 def _repeats(width: int):
-    weights = mix64(np.arange(1, len(_digit_places(width)) + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
+    probes = (0, (width - 8) // 2, width - 8)
 
     def repeats(data: bytes, sizes: np.ndarray, counts: np.ndarray, docs: np.ndarray):
         """(run, window in it) of each window that also starts in a document with a smaller id."""
-        load = _loads(np.frombuffer(data, np.uint8))
+        load = _loads(data)
         base = np.cumsum(sizes) - sizes
+        before = np.cumsum(counts) - counts
         n = int(counts.sum())
-        place = np.repeat(base - (np.cumsum(counts) - counts), counts) + np.arange(n)
-        # windows with a hash of their own cannot be repeated: they leave before the first pass
-        digest = np.zeros(len(load) - width + 1, np.uint64)
-        for weight, at in zip(weights, _digit_places(width), strict=True):
-            digest += load[at: at + len(digest)] * weight
-        digest = mix64(digest)[place]
+        place = np.repeat((base - before).astype(np.int32), counts) + np.arange(n, dtype=np.int32)
+        # the first pass deals by a hash of three digits: what is alone then cannot be repeated
+        digest = np.zeros(n, np.uint64)
+        for at in probes:
+            digest = (digest + load[place + np.int32(at)]) * np.uint64(0x9FB21C651E98DF25)
+            digest ^= digest >> np.uint64(29)
+        digest *= np.uint64(0xA24BAED4963EE407)
         ordered = np.sort(digest)
         twice = ordered[1:][ordered[1:] == ordered[:-1]]
         maybe = np.zeros(1 << 22, dtype=bool)
         maybe[twice >> np.uint64(42)] = True
         window = np.flatnonzero(maybe[digest >> np.uint64(42)])
+        digest = digest[window]
+        order = np.argsort(digest)
+        window, group = window[order], np.cumsum(np.diff(digest[order], prepend=digest[order][:1]) != 0)
         del digest, ordered, twice
-        group = np.zeros(len(window), np.int64)
         for at in _digit_places(width):
-            digit = load[place[window] + at]
-            uneven = np.zeros(len(window), dtype=bool)
-            if len(window):
-                differs = np.flatnonzero((group[1:] == group[:-1]) & (digit[1:] != digit[:-1])) + 1
-                uneven = np.isin(group, group[differs]) if at else np.ones(len(window), dtype=bool)
-            todo = np.flatnonzero(uneven)
-            moved = todo[np.lexsort((digit[todo], group[todo]))]
-            window[todo], digit[todo] = window[moved], digit[moved]  # groups keep their places
-            change = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
-            new = np.concatenate(([True], change)) if len(window) else uneven
+            digit = load[place[window] + np.int32(at)]
+            if len(window) and (differs := np.flatnonzero((group[1:] == group[:-1]) & (digit[1:] != digit[:-1]))).size:
+                todo = np.flatnonzero(np.isin(group, group[differs]))
+                moved = todo[np.lexsort((digit[todo].byteswap(), group[todo]))]
+                window[todo], digit[todo] = window[moved], digit[moved]  # groups keep their places
+            new = np.ones(len(window), dtype=bool)
+            new[1:] = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
+            alone = new.copy()
+            alone[:-1] &= new[1:]
+            if alone.any():
+                window, new = window[~alone], new[~alone]
             group = np.cumsum(new)
-            alone = new & np.concatenate((new[1:], [True])) if len(window) else uneven
-            window, group = window[~alone], group[~alone]
         if not len(window):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        run_of = np.repeat(np.arange(len(sizes)), counts)
-        run = run_of[window]
+        run = np.repeat(np.arange(len(sizes), dtype=np.int32), counts)[window]
         starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         least = np.repeat(np.minimum.reduceat(docs[run], starts), np.diff(np.concatenate((starts, [len(group)]))))
         late = docs[run] > least
-        return run[late], (window - (np.cumsum(counts) - counts)[run])[late]
+        return run[late].astype(np.int64), (window - before[run])[late]
 
     return repeats
 
