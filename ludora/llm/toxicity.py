@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludora.llm.common import crc_fold, text_of
+from ludora.llm.common import crc_fold, materialise, text_of
 
 #: Bounds of the fit: labelled rows of each class, and terms.
 SAMPLE_ROWS, TERMS, CHI_SQUARE = 2000, 4096, 30.0
@@ -135,37 +136,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (crc_fold("doc_id", folds) != held_out)).groupBy("doc_id").agg(F.max("toxic").alias("label"))
     shares = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    examples: list[tuple[int, int, Counter]] = []
-    held: list[dict[str, set]] = [{}, {}]
-    kins: list[set] = [set(), set()]
-    weights = {}
-    for label, n in sorted(shares.items()):
-        ids = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select("doc_id")
-        # terms are counted in the executors: the driver gets counts, not texts
-        part = rows.join(F.broadcast(ids), "doc_id").mapInArrow(_example_counts, "doc_id long, kin long, terms array<string>, counts array<long>").collect()
-        got = sorted(((r.doc_id, label, Counter(dict(zip(r.terms, r.counts, strict=True)))) for r in part), key=lambda x: (x[0], sorted(x[2].items())))
-        examples += got
-        for r in part:
-            kins[label].add(r.kin)
-            for term in r.terms:
-                held[label].setdefault(term, set()).add(r.kin)
-        weights[label] = n / max(1, len(got))
+    chosen = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for y in sorted(shares)]
+    ids = reduce(DataFrame.unionByName, chosen) if chosen else known
+    examples = materialise(rows.join(F.broadcast(ids), "doc_id"), "examples")
     # near copies count once, or each word of a much copied text would look telling
-    n1, n = len(kins[1]), len(kins[0]) + len(kins[1])
-    scored = []
-    for term in held[0].keys() | held[1].keys():
-        a, b = len(held[1].get(term, ())), len(held[0].get(term, ()))
-        if a + b > 2 and 0 < n1 < n and a + b < n:
-            share = (a + b) / n
-            z2 = (a / n1 - b / (n - n1)) ** 2 / (share * (1 - share) * (1 / n1 + 1 / (n - n1)))
-            if z2 >= CHI_SQUARE:
-                scored.append((-z2, term))
-    vocabulary = {t: k for k, (_, t) in enumerate(sorted(scored)[:TERMS])}
+    terms = examples.mapInArrow(_example_terms, "label int, kin long, term string")
+    kin = {r.label: r.n for r in terms.groupBy("label").agg(F.countDistinct("kin").alias("n")).collect()}
+    n0, n1 = kin.get(0, 0), kin.get(1, 0)
+    tally = terms.groupBy("term", "label").agg(F.countDistinct("kin").alias("n")).groupBy("term").agg(*(F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).cast("double").alias(f"n{y}") for y in (0, 1)))
+    share = (F.col("n0") + F.col("n1")) / (n0 + n1 or 1)
+    tally = tally.withColumn("share", share).where("n0 + n1 > 2 and share < 1") if n0 and n1 else tally.withColumn("share", share).limit(0)
+    chi_square = F.pow(F.col("n1") / max(1, n1) - F.col("n0") / max(1, n0), 2) / (F.col("share") * (1 - F.col("share")) * (1 / max(1, n1) + 1 / max(1, n0)))
+    best = tally.select("term", chi_square.alias("z")).where(F.col("z") >= CHI_SQUARE).orderBy(F.desc("z"), "term").limit(TERMS).collect()
+    vocabulary = {r.term: k for k, r in enumerate(best)}
+    counted = examples.mapInArrow(_example_counts(vocabulary), "doc_id long, label int, terms array<long>, counts array<long>").collect()
+    got = sorted(((r.doc_id, r.label, Counter(dict(zip(r.terms, r.counts, strict=True)))) for r in counted), key=lambda x: (x[0], x[1], sorted(x[2].items())))
+    labels_of = [y for _, y, _ in got]
+    weights = {y: n / max(1, labels_of.count(y)) for y, n in shares.items()}
     frequency = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     total = frequency.get(-1, 0)
     idf = np.array([math.log((1 + total) / (1 + frequency.get(k, 0))) + 1 for k in range(len(vocabulary))])
-    chosen = [Counter({vocabulary[t]: c for t, c in counts.items() if t in vocabulary}) for _, _, counts in examples]
-    return ToxicityModel(vocabulary, idf, [i for i, _, _ in examples], [y for _, y, _ in examples], weights, chosen)
+    return ToxicityModel(vocabulary, idf, [i for i, _, _ in got], labels_of, weights, [c for _, _, c in got])
 
 
 def _kin(text: str) -> int:
@@ -174,11 +165,21 @@ def _kin(text: str) -> int:
     return min((crc32(" ".join(words[k: k + 5]).encode()) for k in range(max(1, len(words) - 4))), default=0)
 
 
-def _example_counts(batches):
+def _example_terms(batches):
+    """The terms of each example, with its label and kin."""
     for batch in batches:
-        counts = [term_counts(t) for t in batch.column("text").to_pylist()]
-        kin = [_kin(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "kin": pa.array(kin, pa.int64()), "terms": pa.array([list(c) for c in counts], pa.list_(pa.string())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            terms = list(term_counts(text))
+            yield pa.RecordBatch.from_pydict({"label": pa.array([label] * len(terms), pa.int32()), "kin": pa.array([_kin(text)] * len(terms), pa.int64()), "term": pa.array(terms, pa.string())})
+
+
+def _example_counts(vocabulary: dict[str, int]):
+    def count(batches):
+        for batch in batches:
+            counts = [term_counts(t, vocabulary) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label").cast(pa.int32()), "terms": pa.array([list(c) for c in counts], pa.list_(pa.int64())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
+
+    return count
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int64())]))
