@@ -33,18 +33,38 @@ PRIOR = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def term_counts(text: str, vocabulary: dict[str, int] | None = None) -> Counter:
-    """Occurrences of each term (or of those in `vocabulary`, by number)."""
+def _terms(word: str):
+    return (word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k))
+
+
+def term_counts(text: str) -> Counter:
+    """Occurrences of each term."""
     out: Counter = Counter()
     for word, n in Counter(_WORD.findall(text.lower())).items():
-        for term in (word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)):
-            if vocabulary is None:
-                out[term] += n
-            elif term in vocabulary:
-                out[vocabulary[term]] += n
+        for term in _terms(word):
+            out[term] += n
     return out
 
 
+class Vocabulary:
+    """Chosen terms by number; most words are passed over by their first letters."""
+
+    def __init__(self, terms: list[str]):
+        self.number = {t: k for k, t in enumerate(terms)}
+        self.starts = {t.removesuffix("*")[:4] for t in terms}
+
+    def counts(self, text: str) -> Counter:
+        """Occurrences of the chosen terms, by number."""
+        out: Counter = Counter()
+        starts, number = self.starts, self.number
+        for word, n in Counter(_WORD.findall(text.lower())).items():
+            if word[:4] in starts:
+                for term in _terms(word):
+                    if term in number:
+                        out[number[term]] += n
+        return out
+
+
 class BlockMaxIndex:
     """Unit vectors of the examples as postings per term, with each block's largest weight."""
 
@@ -82,10 +102,10 @@ class BlockMaxIndex:
 class ToxicityModel:
     """Vocabulary, document frequencies and index of the labelled examples."""
 
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, ids: list[int], labels: list[int], weights: dict[int, float], counts: list[Counter]):
+    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, ids: list[int], labels: list[int], weights: dict[int, float], counts: list[Counter]):
         self.vocabulary, self.idf, self.ids, self.labels, self.weights = vocabulary, idf, ids, labels, weights
         vectors = [self.vector(c) for c in counts]
-        self.index = BlockMaxIndex(vectors, len(vocabulary))
+        self.index = BlockMaxIndex(vectors, len(vocabulary.number))
         total = sum(weights[y] for y in labels)
         self.prior = sum(weights[y] * y for y in labels) / total if total else 0.5
         # without any term of the vocabulary, a text is as near to all examples without one
@@ -101,7 +121,7 @@ class ToxicityModel:
 
     def judge(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
         """Calibrated score and evidence: (doc_id, similarity, label) of the neighbours."""
-        counts = term_counts(text, self.vocabulary)
+        counts = self.vocabulary.counts(text)
         if not counts:
             return self.bare, []
         key = tuple(sorted(counts.items()))
@@ -117,13 +137,13 @@ class ToxicityModel:
         return self.known[key]
 
 
-def _frequencies(vocabulary: dict[str, int]):
+def _frequencies(vocabulary: Vocabulary):
     def count(batches):
-        total, n = np.zeros(len(vocabulary), np.int64), 0
+        total, n = np.zeros(len(vocabulary.number), np.int64), 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 n += 1
-                for t in term_counts(text, vocabulary):
+                for t in vocabulary.counts(text):
                     total[t] += 1
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"term": pa.array([-1, *seen.tolist()], pa.int64()), "n": pa.array([n, *total[seen].tolist()], pa.int64())})
@@ -148,14 +168,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     tally = tally.withColumn("share", share).where("n0 + n1 > 2 and share < 1") if n0 and n1 else tally.withColumn("share", share).limit(0)
     chi_square = F.pow(F.col("n1") / max(1, n1) - F.col("n0") / max(1, n0), 2) / (F.col("share") * (1 - F.col("share")) * (1 / max(1, n1) + 1 / max(1, n0)))
     best = tally.select("term", chi_square.alias("z")).where(F.col("z") >= CHI_SQUARE).orderBy(F.desc("z"), "term").limit(TERMS).collect()
-    vocabulary = {r.term: k for k, r in enumerate(best)}
+    vocabulary = Vocabulary([r.term for r in best])
     counted = examples.mapInArrow(_example_counts(vocabulary), "doc_id long, label int, terms array<long>, counts array<long>").collect()
     got = sorted(((r.doc_id, r.label, Counter(dict(zip(r.terms, r.counts, strict=True)))) for r in counted), key=lambda x: (x[0], x[1], sorted(x[2].items())))
     labels_of = [y for _, y, _ in got]
     weights = {y: n / max(1, labels_of.count(y)) for y, n in shares.items()}
     frequency = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     total = frequency.get(-1, 0)
-    idf = np.array([math.log((1 + total) / (1 + frequency.get(k, 0))) + 1 for k in range(len(vocabulary))])
+    idf = np.array([math.log((1 + total) / (1 + frequency.get(k, 0))) + 1 for k in range(len(vocabulary.number))])
     return ToxicityModel(vocabulary, idf, [i for i, _, _ in got], labels_of, weights, [c for _, _, c in got])
 
 
@@ -173,10 +193,10 @@ def _example_terms(batches):
             yield pa.RecordBatch.from_pydict({"label": pa.array([label] * len(terms), pa.int32()), "kin": pa.array([_kin(text)] * len(terms), pa.int64()), "term": pa.array(terms, pa.string())})
 
 
-def _example_counts(vocabulary: dict[str, int]):
+def _example_counts(vocabulary: Vocabulary):
     def count(batches):
         for batch in batches:
-            counts = [term_counts(t, vocabulary) for t in batch.column("text").to_pylist()]
+            counts = [vocabulary.counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label").cast(pa.int32()), "terms": pa.array([list(c) for c in counts], pa.list_(pa.int64())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
 
     return count
