@@ -77,7 +77,7 @@ def representatives(items: DataFrame, dedup_titles: bool = True) -> DataFrame:
     return it.groupBy("title").agg(F.min("app_id").alias("app_id")).select("app_id", "title")
 
 
-def fit_cbf(train: DataFrame, items: DataFrame, max_features: int | None = 5000,
+def fit_cbf(train: DataFrame, items: DataFrame, max_features: int | None = None,
             stop_words=ENGLISH_STOP_WORDS, dedup_titles: bool = True) -> CBFModel:
     """RC-4 fit: title TF-IDF (TF-1/TF-2) + the positive train rows."""
     item_title = representatives(items, dedup_titles)

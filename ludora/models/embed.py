@@ -43,7 +43,7 @@ class EmbedModel:
 
 
 def fit_embed(train: DataFrame, items: DataFrame, n_components: int = 30,
-              max_features: int = 5000, seed: int = 42) -> EmbedModel:
+              max_features: int | None = None, seed: int = 42) -> EmbedModel:
     spark = train.sparkSession
     it = items.select("app_id", F.coalesce(F.col("title"), F.lit("")).alias("title")).distinct()
     docs = it.groupBy("title").agg(F.count(F.lit(1)).alias("mult"))

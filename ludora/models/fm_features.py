@@ -12,37 +12,44 @@ feature count is bounded).
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import FMRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text_compact
+from ..operators.split import dense_index
+
+BLOCKS = ("author", "app", "title")
 
 
 def build_features(interactions: DataFrame, items: DataFrame):
-    """-> (training rows with `features` + `label`, dimension summary row)."""
+    """-> (training rows with `features` + `label`, dimension summary row).
+
+    Each block is a distributed dense index joined to the rows; only the three
+    block sizes reach the driver.  The encoder drops the index one past a
+    block's last, which stands for "none" (an unknown item has no title, and
+    titles of fewer than two characters are no token), so a block is exactly
+    as wide as its index.
+    """
+    token = clean_text_compact("title")
     df = (interactions.select("author_id", "app_id", "is_positive_encoded")
           .join(items.select("app_id", "title").dropDuplicates(["app_id"]), "app_id", "left")
-          .withColumn("title_token", clean_text_compact("title"))
-          .withColumn("author_key", F.col("author_id").cast("string"))
-          .withColumn("app_key", F.col("app_id").cast("string")))
-    stages = []
-    for c in ("author_key", "app_key", "title_token"):
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_ix", stringOrderType="alphabetAsc",
-                                    handleInvalid="keep"))
-    stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in ("author_key", "app_key", "title_token")],
-                                outputCols=[f"{c}_oh" for c in ("author_key", "app_key", "title_token")],
-                                dropLast=False, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"{c}_oh" for c in ("author_key", "app_key", "title_token")],
-                                  outputCol="features"))
-    model = Pipeline(stages=stages).fit(df)
-    out = model.transform(df).withColumn("label", F.coalesce("is_positive_encoded", F.lit(0)).cast("double"))
-    sizes = [len(m.labelsArray[0]) + 1 for m in model.stages[:3]]   # + the 'keep' bucket
-    summary = out.sparkSession.createDataFrame(
-        [(out.select(F.count(F.lit(1))).first()[0], sizes[0], sizes[1], sizes[2], sum(sizes))],
-        "n_rows long, n_user_features int, n_item_features int, n_title_features int, n_features int")
+          .withColumn("author", F.col("author_id").cast("string")).withColumn("app", F.col("app_id").cast("string"))
+          .withColumn("title", F.when(F.length(token) >= 2, token)))
+    n_rows, sizes, out = df.count(), [], df
+    for block in BLOCKS:
+        index = dense_index(df, block, index_col=f"{block}_ix")
+        sizes.append(index.count())
+        out = out.join(index, block, "left").withColumn(f"{block}_ix", F.coalesce(f"{block}_ix", F.lit(sizes[-1])).cast("double"))
+    spark = df.sparkSession
+    ends = spark.createDataFrame([tuple(float(n) for n in sizes)], ", ".join(f"{b}_ix double" for b in BLOCKS))
+    encoder = OneHotEncoder(inputCols=ends.columns, outputCols=[f"{b}_oh" for b in BLOCKS], dropLast=True).fit(ends)
+    features = VectorAssembler(inputCols=[f"{b}_oh" for b in BLOCKS], outputCol="features")
+    out = features.transform(encoder.transform(out)).withColumn("label", F.coalesce("is_positive_encoded", F.lit(0)).cast("double"))
+    summary = spark.createDataFrame(
+        [(n_rows, *sizes, sum(sizes))],
+        "n_rows long, n_user_features long, n_item_features long, n_title_features long, n_features long")
     return out.select("author_id", "app_id", "features", "label"), summary
 
 

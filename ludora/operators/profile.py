@@ -4,10 +4,9 @@ Rules used throughout:
 * one `agg` per table where possible (PO-1), map-side partial aggregation;
 * group keys that are null are dropped (pandas value_counts / groupby);
 * ties in top-n break by key ascending (T-19);
-* exact quantiles come from a distributed sort: rows are range
-  partitioned by value, numbered per partition, shifted by a prefix sum
-  of partition counts, and only the rows at the needed positions are
-  kept -- no aggregate buffers all values in one task.
+* exact quantiles come from the counts of distinct values and their prefix
+  sums, so neither a task nor an aggregate holds all rows of a column or of
+  one value.
 """
 
 from __future__ import annotations
@@ -15,42 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 
 
-def _num_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def row_positions(df: DataFrame, col: str, pos: str = "_pos") -> DataFrame:
-    """(value, 0-based position in ascending order) for the non-null values."""
-    vals = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    if "double" in dict(vals.dtypes)["_v"] or "float" in dict(vals.dtypes)["_v"]:
-        vals = vals.where(~F.isnan("_v"))
-    parted = vals.repartitionByRange(_num_parts(df), "_v").withColumn("_pid", F.spark_partition_id())
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy("_v")) - 1
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (parted.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
-            .select("_v", (F.col("_off") + F.col("_local")).alias(pos)))
-
 
 def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
     """One row: q_<p> columns with linear interpolation (pandas / quantile_cont)."""
-    n = F.lit(df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).first()[0])
-    pos = row_positions(df, col)
-    wanted = []
-    for q in qs:
-        h = (n - 1) * F.lit(float(q))
-        wanted += [F.floor(h), F.ceil(h)]
-    picked = pos.where(F.array_contains(F.array(*wanted), F.col("_pos")))
-    outs = []
-    for q in qs:
-        h = (n - 1) * F.lit(float(q))
-        lo = F.max(F.when(F.col("_pos") == F.floor(h), F.col("_v")))
-        hi = F.max(F.when(F.col("_pos") == F.ceil(h), F.col("_v")))
-        outs.append((lo + (hi - lo) * (h - F.floor(h))).cast("double").alias("q" + str(int(round(q * 100)))))
-    return picked.agg(*outs)
+    names = ["q" + str(int(round(q * 100))) for q in qs]
+    got = quantiles_by_column(df, [col], qs)
+    return got.agg(*[F.max(n).alias(n) for n in names])
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -80,43 +52,43 @@ def null_pattern(df: DataFrame, cols) -> DataFrame:
 
 
 def quantiles_by_column(df: DataFrame, cols, qs) -> DataFrame:
-    """Exact linear-interpolated quantiles of several columns in one sort.
+    """Exact linear-interpolated quantiles of several columns.
 
-    Values are unpivoted to (column_name, v), range partitioned and sorted
-    by (column_name, v) once; a global position comes from per-partition
-    numbering plus a prefix sum of partition counts, and the position of a
-    value inside its column is that minus the column's first position.
+    Values are unpivoted and counted per (column_name, value) -- a partial
+    aggregate, so a value that fills most of a column is one row per task.
+    The distinct values are range partitioned and written once; prefix sums
+    of their counts, inside a partition and over partitions, give each value its
+    range of positions, and the values at the needed positions are kept.
     -> (column_name, q<p>...)
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     long = long.select(F.col("s.c").alias("column_name"), F.col("s.v").alias("_v"))
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    parted = (long.repartitionByRange(_num_parts(df), "column_name", "_v")
-              .withColumn("_pid", F.spark_partition_id()))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy("column_name", "_v")) - 1
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    pos = (parted.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
-           .select("column_name", "_v", (F.col("_off") + F.col("_local")).alias("_g")))
-    # per-column size and first position: prefix sum over a table of one row per column
-    per_col = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
-    per_col = per_col.select("column_name", "_n", F.coalesce(F.sum("_n").over(
-        Window.orderBy("column_name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    pos = (pos.join(F.broadcast(per_col), "column_name")
-           .withColumn("_p", F.col("_g") - F.col("_start")))
-    outs = []
-    for q in qs:
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        lo = F.max(F.when(F.col("_p") == F.floor(h), F.col("_v")))
-        hi = F.max(F.when(F.col("_p") == F.ceil(h), F.col("_v")))
-        frac = F.max((F.col("_n") - 1) * F.lit(float(q)) - F.floor((F.col("_n") - 1) * F.lit(float(q))))
-        outs.append((lo + (hi - lo) * frac).alias("q" + str(int(round(q * 100)))))
-    keep = F.lit(False)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    parted = written(counted.repartitionByRange(n_parts, "column_name", "_v")
+                     .withColumn("_pid", F.spark_partition_id()), "values")
+    # one row per partition and column: a column's rows in earlier partitions
+    sums = parted.groupBy("column_name", "_pid").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy("column_name").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("column_name", "_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+                       F.sum("_s").over(Window.partitionBy("column_name")).alias("_n"))
+    inside = Window.partitionBy("_pid", "column_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    pos = (parted.withColumn("_upto", F.sum("_c").over(inside))
+           .join(F.broadcast(sums), ["column_name", "_pid"])
+           .withColumn("_hi", F.col("_off") + F.col("_upto")).withColumn("_lo", F.col("_hi") - F.col("_c")))
+
+    def at(p: Column) -> Column:
+        return (F.col("_lo") <= p) & (p < F.col("_hi"))
+
+    outs, keep = [], F.lit(False)
     for q in qs:
         h = (F.col("_n") - 1) * F.lit(float(q))
-        keep = keep | (F.col("_p") == F.floor(h)) | (F.col("_p") == F.ceil(h))
+        keep = keep | at(F.floor(h)) | at(F.ceil(h))
+        lo = F.max(F.when(at(F.floor(h)), F.col("_v")))
+        hi = F.max(F.when(at(F.ceil(h)), F.col("_v")))
+        outs.append((lo + (hi - lo) * F.max(h - F.floor(h))).alias("q" + str(int(round(q * 100)))))
     return pos.where(keep).groupBy("column_name").agg(*outs)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def _order_key(c: str, id_order: str) -> Column:
     if id_order == "string":
@@ -39,34 +41,41 @@ def temporal_holdout(df: DataFrame, user: str = "author_id", order: str = "id",
     return train, test
 
 
+def number_rows(df: DataFrame, sort_cols, index_col: str = "idx") -> DataFrame:
+    """`df` with a contiguous 0-based row number in the order of `sort_cols`.
+
+    Rows are range partitioned and written once with their partition's
+    number: row numbers inside a partition and the prefix sum of the
+    partitions' counts (one row per partition) must come from the same
+    partitioning, which two runs of a sampled range exchange do not promise.
+    Rows with equal sort columns get different numbers, in the order of their
+    other columns' hash.
+    """
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ties = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    parted = written(df.withColumn("_tie", ties).repartitionByRange(n_parts, *sort_cols, "_tie")
+                     .withColumn("_pid", F.spark_partition_id()), "numbered")
+    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*sort_cols, "_tie")) - 1
+    return (parted.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
+            .withColumn(index_col, (F.col("_off") + F.col("_local")).cast("long"))
+            .select(*df.columns, index_col))
+
+
 def dense_index(df: DataFrame, key: str, order=None, index_col: str = "idx") -> DataFrame:
     """WN-6 / WN-7: contiguous 0-based index over distinct keys.
 
     `order` (default: the key) is the declared order; first appearance is
-    expressed as order by the minimum of a time column.  Keys are range
-    partitioned and sorted, each partition numbers its own rows, and a
-    prefix sum over the per-partition counts (one row per partition, so
-    its broadcast is bounded by the partition count) shifts them into one
-    global sequence.  All JVM-side; no single-task global window.
+    expressed as order by the minimum of a time column.  No single-task global window.
     """
-    spark = df.sparkSession
     if order is None:
         keyed = df.select(key).where(F.col(key).isNotNull()).distinct()
-        sort_cols = [key]
-    else:
-        keyed = (df.where(F.col(key).isNotNull()).groupBy(key)
-                 .agg(F.min(order).alias("_first")))
-        sort_cols = ["_first", key]
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = (keyed.repartitionByRange(n_parts, *sort_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*sort_cols)) - 1
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (parted.withColumn("_local", local)
-            .join(F.broadcast(offsets), "_pid")
-            .select(key, (F.col("_off") + F.col("_local")).cast("long").alias(index_col)))
+        return number_rows(keyed, [key], index_col)
+    keyed = (df.where(F.col(key).isNotNull()).groupBy(key)
+             .agg(F.min(order).alias("_first")))
+    return number_rows(keyed, ["_first", key], index_col).select(key, index_col)
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = 42, key_cols=None) -> DataFrame:

@@ -22,9 +22,7 @@ def tfidf(docs: DataFrame, key: str, tokens: Column, max_features: int | None =
     n_docs = d.select(F.sum("_m")).scalar()
     tf = (d.select(key, "_m", F.explode("_t").alias("term"))
           .groupBy(key, "_m", "term").agg(F.count(F.lit(1)).alias("tf")))
-    if max_features is not None and (
-            tf.select("term").distinct().limit(max_features + 1).count() > max_features):
-        # Only when the vocabulary is larger than the cap: a bounded top-n.
+    if max_features is not None:  # a named feature of TF-2 / TF-4: the most frequent terms
         vocab = (tf.groupBy("term").agg(F.sum(F.col("tf") * F.col("_m")).alias("_tot"))
                  .orderBy(F.col("_tot").desc(), F.col("term").asc()).limit(max_features)
                  .select("term"))

@@ -9,12 +9,9 @@ from ..operators import clean
 from ..operators.split import temporal_holdout
 from ..sources import fixtures
 
-# Passing the fixture's rating levels skips the bounded distinct collect of
-# the one-hot encoding; None derives them from the data.
-FIXTURE_RATINGS = fixtures.FIXTURE_RATINGS
 
-
-def preprocessed(spark: SparkSession, sf_dir: str, ratings=FIXTURE_RATINGS) -> DataFrame:
+def preprocessed(spark: SparkSession, sf_dir: str, ratings=None) -> DataFrame:
+    """PL-2 over the fixture; `ratings` None derives the one-hot levels from the data."""
     return clean.preprocess(fixtures.merged(spark, sf_dir), ratings)
 
 

@@ -79,19 +79,16 @@ def q_st8(s, sf):
 
 @register("sc7_surrogate_review_id", with_(["reviews"], """SELECT author_id, app_id, is_positive,
  row_number() OVER (ORDER BY author_id, app_id, is_positive) - 1 AS rid
- FROM (SELECT DISTINCT author_id, app_id, is_positive FROM reviews)"""))
+ FROM reviews"""))
 def q_sc7(s, sf):
-    r = fixtures.reviews(s, sf).select("author_id", "app_id", "is_positive").distinct()
+    r = fixtures.reviews(s, sf).select("author_id", "app_id", "is_positive")
     return with_surrogate_id(r, ["author_id", "app_id", "is_positive"], "rid")
 
 
 # --- hybrid combinations with deterministic inputs (sql*) ---------------------------
 
-_GRID = """users300 AS (SELECT author_id FROM test_users ORDER BY CAST(author_id AS VARCHAR) LIMIT 300),
-grid AS (SELECT author_id, app_id FROM (SELECT u.author_id, i.app_id, row_number() OVER
- (PARTITION BY u.author_id ORDER BY CAST(i.app_id AS VARCHAR)) AS rn
- FROM users300 u CROSS JOIN (SELECT DISTINCT app_id FROM train) i
- WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.author_id = u.author_id AND t.app_id = i.app_id)) WHERE rn <= 2000),
+_GRID = """grid AS (SELECT u.author_id, i.app_id FROM test_users u CROSS JOIN (SELECT DISTINCT app_id FROM train) i
+ WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.author_id = u.author_id AND t.app_id = i.app_id)),
 pop AS (SELECT app_id, CAST(count(*) AS DOUBLE) AS pop FROM train WHERE is_positive_encoded = 1 GROUP BY app_id),
 sc AS (SELECT g.author_id, g.app_id, coalesce(p.pop, 0.0) AS cf_raw, coalesce(z.raw, 0.0) AS cbf_raw
  FROM grid g LEFT JOIN pop p ON p.app_id = g.app_id
@@ -116,8 +113,8 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY model, author_id ORDER BY round
  app_id, CAST(rank AS INT) AS rank, round(score, 9) AS score FROM rk WHERE rank <= 20""", extra=_GRID))
 def q_hybrids(s, sf):
     st = stages(s, sf)
-    users = first_users(st.test, 300)
-    grid = candidate_pool(users, st.train_ranked_items, st.train.select("author_id", "app_id"), cap=2000)
+    users = first_users(st.test, None)
+    grid = candidate_pool(users, st.train_ranked_items, st.train.select("author_id", "app_id"), cap=None)
     grid = grid.select("author_id", "app_id")
     pop = (st.train.where(F.col("is_positive_encoded") == 1).groupBy("app_id")
            .agg(F.count(F.lit(1)).cast("double").alias("pop")))

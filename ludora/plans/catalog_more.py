@@ -88,13 +88,13 @@ def q_wn7(s, sf):
 @register("wn8_candidate_cap", with_(["train", "test_users"], """SELECT author_id, count(*) AS n_candidates,
  min(CAST(app_id AS VARCHAR)) AS first_item, max(CAST(app_id AS VARCHAR)) AS last_item FROM (
  SELECT u.author_id, i.app_id, row_number() OVER (PARTITION BY u.author_id ORDER BY CAST(i.app_id AS VARCHAR)) AS rn
- FROM (SELECT author_id FROM test_users ORDER BY CAST(author_id AS VARCHAR) LIMIT 300) u
+ FROM test_users u
  CROSS JOIN (SELECT DISTINCT app_id FROM train) i
  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.author_id = u.author_id AND t.app_id = i.app_id))
  WHERE rn <= 2000 GROUP BY author_id"""))
 def q_wn8(s, sf):
     st = stages(s, sf)
-    users = first_users(st.test, 300)
+    users = first_users(st.test, None)
     pool = candidate_pool(users, st.train_ranked_items, st.train.select("author_id", "app_id"), cap=2000)
     return pool.groupBy("author_id").agg(
         F.count(F.lit(1)).alias("n_candidates"),

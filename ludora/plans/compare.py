@@ -140,8 +140,8 @@ def model_scores(g: DataFrame, stacker, models) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str, models, users: DataFrame | None = None,
-                universe: str = "train", candidate_limit: int | None = 2000,
-                sample_users: int | None = 300, k: int = 20, seed: int = SEED) -> DataFrame:
+                universe: str = "train", candidate_limit: int | None = None,
+                sample_users: int | None = None, k: int = 20, seed: int = SEED) -> DataFrame:
     st = stages(spark, sf_dir)
     users = users if users is not None else first_users(st.test, sample_users)
     ranked = st.train_ranked_items if universe == "train" else st.ranked_items
@@ -194,7 +194,7 @@ def _memo(fn):
 
 
 @_memo
-def ev15(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAULT_KS):
+def ev15(spark, sf_dir, sample_users=None, candidate_limit=None, ks=metrics.DEFAULT_KS):
     """EV-15: 7 models, candidates from train items, policy B."""
     st = stages(spark, sf_dir)
     users = first_users(st.test, sample_users)
@@ -204,7 +204,7 @@ def ev15(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAU
 
 
 @_memo
-def ev16(spark, sf_dir, sample_users=300, candidate_limit=2000, ks=metrics.DEFAULT_KS):
+def ev16(spark, sf_dir, sample_users=None, candidate_limit=None, ks=metrics.DEFAULT_KS):
     """EV-16: 6 models, candidates from all items, policy B."""
     st = stages(spark, sf_dir)
     users = first_users(st.test, sample_users)

@@ -9,34 +9,44 @@ setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "ludora") -> SparkSession:
-    master = master or os.environ.get("LUDORA_MASTER", "local[8]")
-    spark = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+    """Session for scripts, tests and the bench; what the launcher has set stays as it is.
+
+    A master, shuffle partitions and driver memory are only set when given
+    (argument or environment) or, without any launcher, for a local run.
+    """
+    builder = (
+        SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LUDORA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    given = SparkConf()
+    master = master or os.environ.get("LUDORA_MASTER") or (None if given.contains("spark.master") else "local[8]")
+    if master:
+        builder = builder.master(master)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("LUDORA_DRIVER_MEMORY", "16g"))
+        shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts: the cluster's setting, else a test folder."""
+    """Shared folder for lineage cuts: the cluster's setting; on a local master a scratch folder when unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
@@ -44,12 +54,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master}: "
+                           "executors need a folder that they share")
     local = tempfile.mkdtemp(prefix="ludora-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss); never localCheckpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once into the shared folder and read back: all its readers see the same rows."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/ludora-written/{uuid.uuid4().hex}-{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

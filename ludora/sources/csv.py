@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import NULL_TOKENS
+from ..operators.split import number_rows
 from .schemas import ALT_REVIEW_RENAMES, require_columns
 
 REPLACEMENT_CHAR = "�"
@@ -66,13 +67,10 @@ def alternative_layout(df: DataFrame) -> DataFrame:
 
 
 def with_surrogate_id(df: DataFrame, order_cols, id_col: str = "id") -> DataFrame:
-    """SC-7: contiguous 0-based row id in a declared order (distributed numbering)."""
+    """SC-7: contiguous 0-based id of every row in a declared order; equal rows get different ids."""
     if id_col in df.columns:
         return df
-    from ..operators.split import dense_index
-    keyed = df.withColumn("_k", F.struct(*[F.col(c) for c in order_cols]))
-    idx = dense_index(keyed, "_k", index_col=id_col)
-    return keyed.join(idx, "_k").drop("_k")
+    return number_rows(df, list(order_cols), id_col)
 
 
 def require_nonempty(df: DataFrame, what: str) -> DataFrame:

@@ -160,9 +160,11 @@ def test_fm_features_and_optional_fit(spark):
     items, train = _frames(spark)
     feats, summary = build_features(train, items)
     s = summary.first()
-    # 3 users, 6 items, 6 compact titles, each block + one 'unseen' slot
-    assert (s.n_user_features, s.n_item_features, s.n_title_features) == (4, 7, 7)
-    assert s.n_features == 18 and s.n_rows == len(LIKES)
+    # 3 users, 6 items, 6 compact titles
+    assert (s.n_user_features, s.n_item_features, s.n_title_features) == (3, 6, 6)
+    assert s.n_features == 15 and s.n_rows == len(LIKES)
+    assert {r.features.size for r in feats.collect()} == {15}
+    assert all(r.features.numNonzeros() == 3 for r in feats.collect())
     model = fit_fm(feats, max_iter=5)
     preds = model.transform(feats).collect()
     assert all(math.isfinite(r.prediction) for r in preds)

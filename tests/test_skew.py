@@ -1,5 +1,6 @@
 """A user holding a third of all rows: results stay exact, plans stay split-able."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ludora.models.cbf import cbf_top_k, fit_cbf
@@ -43,3 +44,38 @@ def test_candidates_and_topk_hot_user(spark):
     top = cbf_top_k(model, users, ranked, seen, 10).collect()
     assert sorted(r.author_id for r in top) == [0] * 10 + [1] * 10
     assert not any(r.author_id == 0 and r.app_id in hot_seen for r in top)
+
+
+def test_numbers_and_quantiles_without_exchange_reuse(spark):
+    """400,000 rows, 90 % of them one value, more than the range sampler reads, and no reused exchange."""
+    from ludora.operators.profile import exact_quantiles
+    from ludora.operators.split import dense_index
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(400_000).select(F.col("id"), F.when(F.col("id") % 10 > 0, F.lit(7.0)).otherwise((F.col("id") * 37 % 400_009).cast("double")).alias("v"))
+        values = np.array([r.v for r in df.select("v").collect()])
+        got = exact_quantiles(df, "v", (0.01, 0.05, 0.5, 0.99)).first()
+        assert np.allclose(list(got), np.quantile(values, (0.01, 0.05, 0.5, 0.99)))
+        idx = dense_index(df, "id").agg(F.countDistinct("idx"), F.min("idx"), F.max("idx"), F.sum((F.col("id") != F.col("idx")).cast("int"))).first()
+        assert tuple(idx) == (400_000, 0, 399_999, 0)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_shared_folder_is_required_off_local_masters():
+    import pytest
+
+    from ludora.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())

@@ -39,6 +39,8 @@ def test_alternative_layout_and_surrogate_id(spark):
     assert set(out.columns) == {"is_positive", "author_id", "app_id"}
     with_id = C.with_surrogate_id(out, ["author_id", "app_id"]).orderBy("id").collect()
     assert [(r.id, r.author_id) for r in with_id] == [(0, "UserA"), (1, "UserB")]
+    twice = C.with_surrogate_id(out.unionByName(out), ["author_id", "app_id"]).orderBy("id").collect()
+    assert [(r.id, r.author_id) for r in twice] == [(0, "UserA"), (1, "UserA"), (2, "UserB"), (3, "UserB")]
 
 
 def test_require_nonempty(spark):
