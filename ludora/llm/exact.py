@@ -33,9 +33,10 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     narrow = materialise(rows.select("doc_id", "digest"), "digests")
     # written first: a join that reads an aggregate directly cannot have its hot keys split
     repeated = materialise(narrow.groupBy("digest", salt).count().groupBy("digest").agg(F.sum("count").alias("n")).where("n > 1").select("digest"), "repeated")
-    shared = materialise(rows.join(repeated, "digest", "left_semi"), "shared")
+    # merge joins: one plan at every size, whose hot keys AQE can split; a broadcast would only fit small inputs
+    shared = materialise(rows.join(repeated.hint("merge"), "digest", "left_semi"), "shared")
     salted = shared.groupBy("digest", salt, "content").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n"))
     winners = materialise(salted.groupBy("digest", "content").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "winners")
-    grouped = shared.join(winners, ["digest", "content"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    grouped = shared.join(winners.hint("merge"), ["digest", "content"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
     single = narrow.join(repeated, "digest", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     return grouped.unionByName(single)
