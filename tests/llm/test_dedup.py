@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from ludora.llm import lines
 from ludora.llm.common import NO_ID
 from ludora.llm.components import components
 from ludora.llm.exact import exact_dedup
@@ -17,7 +20,7 @@ from ludora.llm.simhash import BKTree, fingerprint, fingerprint_links, simhash_c
 from ludora.llm.substring import substring_dedup
 from ludora.llm.suffix import suffix_dedup
 
-from .data import SCHEMA, documents, rows
+from .data import SCHEMA, documents, rows, words
 
 
 def ident(doc_id):
@@ -183,6 +186,22 @@ def test_lines(spark):
     assert lost <= 0.1 * len(gone)  # most near lines of this fixture stand at the threshold
 
 
+def test_lines_of_one_hot_band(spark, monkeypatch):
+    """All lines share one band: links between lines that are not among its ends are found too."""
+    rng = random.Random(11)
+    bases = [words(rng, 80).split() for _ in range(40)]
+    data = []
+    for i in range(240):
+        w = list(rng.choice(bases))
+        w[rng.randrange(len(w))] = words(rng, 1)
+        data.append((i, " ".join(w)))
+    gone = brute_lines(data)
+    assert len(gone) > 150
+    monkeypatch.setattr(lines, "_bands", lambda line: F.array(F.lit(1).cast("long")))
+    got = {r.doc_id for r in dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert got == {i for i, _ in gone}
+
+
 def test_lines_repeated_rows_and_null_ids(spark):
     data = [(1, "one two three four five six\nrest of one"), (1, "one two three four five six\nrest of one"), (None, "one two three four five six\n\n"), (2, None)]
     got = Counter((r.doc_id, r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect())
