@@ -109,9 +109,8 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY model, author_id ORDER BY round
  CAST(app_id AS VARCHAR)) AS rank FROM lg)"""
 
 
-@register("rc11_rc13_rc18_hybrids_popularity_cf", with_(["test_users", "train", "cbf_nz"], """SELECT model, author_id,
- app_id, CAST(rank AS INT) AS rank, round(score, 9) AS score FROM rk WHERE rank <= 20""", extra=_GRID))
-def q_hybrids(s, sf):
+def _scored_grid(s, sf):
+    """Every unseen item of every test user: cf_raw (popularity), cbf_raw and both normalised per user."""
     st = stages(s, sf)
     users = first_users(st.test, None)
     grid = candidate_pool(users, st.train_ranked_items, st.train.select("author_id", "app_id"), cap=None)
@@ -121,7 +120,13 @@ def q_hybrids(s, sf):
     g = grid.join(pop, "app_id", "left").withColumn("cf_raw", F.coalesce("pop", F.lit(0.0))).drop("pop")
     g = fit_cbf(st.train, st.items).score_pairs(g, "cbf_raw")
     g = minmax_per_user(g, "cf_raw", out="cf")
-    g = max_norm_per_user(g, "cbf_raw", out="cbf")
+    return max_norm_per_user(g, "cbf_raw", out="cbf")
+
+
+@register("rc11_rc13_rc18_hybrids_popularity_cf", with_(["test_users", "train", "cbf_nz"], """SELECT model, author_id,
+ app_id, CAST(rank AS INT) AS rank, round(score, 9) AS score FROM rk WHERE rank <= 20""", extra=_GRID))
+def q_hybrids(s, sf):
+    g = _scored_grid(s, sf)
     g = hybrid.weighted_renormalized(g, "cf", "cbf", 0.5, "h05")
     g = g.withColumn("h03", hybrid.weighted(F.col("cf"), F.col("cbf"), 0.3))
     g = g.withColumn("hmean", hybrid.mean_stacker(["cf", "cbf"]))
@@ -133,6 +138,21 @@ def q_hybrids(s, sf):
     return top.select("model", "author_id", "app_id", F.col("rank").cast("int").alias("rank"), *rnd("score"))
 
 
+@register("rc12_raw_hybrid_components", with_(["test_users", "train", "cbf_nz"], """SELECT r.author_id, r.app_id, t.title,
+ CAST(r.rank AS INT) AS rank, round(r.cf_raw, 9) AS cf_score, round(r.cbf, 9) AS cbf_score, round(r.hybrid, 9) AS hybrid_score
+ FROM (SELECT *, 0.3 * cf_raw + 0.7 * cbf AS hybrid, row_number() OVER (PARTITION BY author_id
+  ORDER BY round(0.3 * cf_raw + 0.7 * cbf, 9) DESC, CAST(app_id AS VARCHAR)) AS rank FROM nm) r
+ LEFT JOIN (SELECT app_id, min(title) AS title FROM inter GROUP BY app_id) t ON t.app_id = r.app_id WHERE r.rank <= 10""",
+                                               extra=_GRID))
+def q_rc12(s, sf):
+    """RC-12: the CF score enters as it is; both components stay beside the hybrid score."""
+    g = _scored_grid(s, sf).withColumn("score", hybrid.weighted(F.col("cf_raw"), F.col("cbf"), 0.3))
+    titles = stages(s, sf).interactions.groupBy("app_id").agg(F.min("title").alias("title"))
+    top = top_k(g, 10).join(titles, "app_id", "left")
+    return top.select("author_id", "app_id", "title", F.col("rank").cast("int").alias("rank"),
+                      *(F.round(c, 9).alias(name) for c, name in (("cf_raw", "cf_score"), ("cbf", "cbf_score"), ("score", "hybrid_score"))))
+
+
 @register("sl5_demote_seen_top5", with_(["test_users", "train", "cbf_nz"], """SELECT author_id, app_id, CAST(rank AS INT) AS rank,
  seen FROM (SELECT c.author_id, c.app_id, c.seen, row_number() OVER (PARTITION BY c.author_id
  ORDER BY CAST(c.seen AS INT), round(coalesce(z.raw, 0.0), 9) DESC, CAST(c.app_id AS VARCHAR)) AS rank
