@@ -63,9 +63,9 @@ def q_tf4(s, sf):
 
 
 @register("tf5_title_tfidf_compact_token", with_(["items"], _BODY, extra=_tfidf_sql(
-    _ITEM_DOCS, "list_filter([regexp_replace(lower(title), '[^a-z0-9]', '', 'g')], lambda t: t <> '')", None, False)))
+    _ITEM_DOCS, "list_filter([regexp_replace(lower(title), '[^a-z0-9]', '', 'g')], lambda t: length(t) > 1)", None, False)))
 def q_tf5(s, sf):
-    tok = F.filter(F.array(clean_text_compact("title")), lambda t: t != "")
+    tok = F.filter(F.array(clean_text_compact("title")), lambda t: F.length(t) > 1)
     return _out(tfidf(_docs(s, sf, False), "title", tok, None, "mult"))
 
 
