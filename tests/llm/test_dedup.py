@@ -202,6 +202,41 @@ def test_lines_of_one_hot_band(spark, monkeypatch):
     assert got == {i for i, _ in gone}
 
 
+def overlapping(line):
+    """The usual shingles, whatever the operator's are: five characters from each place."""
+    low = line.lower()
+    return {low[k: k + 5] for k in range(max(1, len(low) - 4))}
+
+
+def test_lines_by_overlapping_shingles(spark):
+    """Every character counts: one changed word of a line leaves it near, another end of a URL, CJK or tab line need not."""
+    rng = random.Random(23)
+    data = []
+    for _ in range(60):
+        w = words(rng, 26).split()
+        data += [" ".join(w), " ".join([*w[:12], words(rng, 1), *w[13:]])]
+    chars = [chr(0x4E00 + k) for k in range(3000)] + [chr(0x1F600 + k) for k in range(40)]
+    for _ in range(20):
+        head = "".join(rng.choices(chars, k=16))
+        data += [head + "".join(rng.choices(chars, k=40)) for _ in range(2)]
+        long = "".join(rng.choices(chars, k=90))
+        data += [long, long[:50] + "\u7532" + long[51:]]
+        data += ["https://www.example.com/" + "/".join(words(rng, 3).split()) for _ in range(2)]
+        data += ["row-prefix-of-16\t" + words(rng, 9).replace(" ", "\t") for _ in range(2)]
+    data += ["https://www.example.com/a", "https://www.example.com/b" + "/b" * 9, "ab " * 7 + "a", "ab " * 3000, "x", "X", "xy"]
+    sets = [overlapping(x) for x in data]
+    root = list(range(len(data)))
+    for a in range(len(data)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if x == old else x for x in root]
+    want = {i for i, x in enumerate(root) if x != i}
+    assert 60 < len(want) < 100
+    got = {r.doc_id for r in dedup_lines(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert got == want
+
+
 def test_lines_repeated_rows_and_null_ids(spark):
     data = [(1, "one two three four five six\nrest of one"), (1, "one two three four five six\nrest of one"), (None, "one two three four five six\n\n"), (2, None)]
     got = Counter((r.doc_id, r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect())
