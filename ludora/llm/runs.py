@@ -12,7 +12,7 @@ the window's content only, so equal windows always meet.
   smaller id needs no trip: all its windows are repeats.  A passage in a third
   of all documents therefore sends a row per task, not per document.
 * A task sends one compressed row per bucket and flush, not one per run.
-* A document is known by (id, 16 bits of its text's hash), so that rows that
+* A document is known by (id, 64-bit hash of its text), so that rows that
   repeat an id with another text keep their own result.
 """
 
@@ -39,8 +39,8 @@ ORIGIN_BYTES = 8 << 20
 
 ROW = "bucket long, packed binary, meta binary"
 SPANS = "origin long, spans binary"
-_META = (("over", "<u4"), ("doc", "<i8"), ("key", "<u2"), ("start", "<i8"), ("count", "<u4"))  # over: bytes above one per window
-_SPAN = (("doc", "<i8"), ("key", "<u2"), ("start", "<i8"), ("count", "<u4"))
+_META = (("over", "<u4"), ("doc", "<i8"), ("key", "<i8"), ("start", "<i8"), ("count", "<u4"))  # over: bytes above one per window
+_SPAN = (("doc", "<i8"), ("key", "<i8"), ("start", "<i8"), ("count", "<u4"))
 
 
 @dataclass
@@ -238,7 +238,7 @@ def _flush(held: list[dict], packed: list[bytes]):
 
 def _span_rows(spans: dict[str, np.ndarray], n_origins: int, schema: str):
     """Repeated windows as one row per origin (the task that will hold their documents)."""
-    origin = (spans["doc"] ^ spans["key"].astype(np.int64)) % n_origins
+    origin = (spans["doc"] ^ spans["key"]) % n_origins
     order = np.lexsort((spans["start"], spans["key"], spans["doc"], origin))
     origins, first = np.unique(origin[order], return_index=True)
     blocks = [_pack({name: np.asarray(spans[name])[rows] for name, _ in _SPAN}, _SPAN) for rows in np.split(order, first[1:])] if len(order) else []
@@ -287,7 +287,7 @@ def repeated_spans(docs: DataFrame, pieces_of: Pieces, cut: Cut, repeats, window
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("key", F.xxhash64("text").bitwiseAND(0xFFFF))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("key", F.xxhash64("text"))
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, n_origins: int, width: int, finish, schema: str) -> DataFrame:

@@ -74,6 +74,18 @@ def test_long_documents_are_cut_into_pieces(spark):
     assert got[2] == (len(text), 1, b"head  tail") and got[3][:2] == (0, 0)
 
 
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
+def test_many_texts_of_one_id(spark, operator):
+    """Rows without an id, or of one id, are told apart by their texts: two of them share 16 bits of a hash."""
+    rng = random.Random(8)
+    texts = [words(rng, 30) for _ in range(900)]
+    passage = words(rng, 30)
+    data = [(1, passage)] + [(None, f"{passage} {t}" if k % 2 else t) for k, t in enumerate(texts)] + [(7, t) for t in (words(rng, 30) for _ in range(900))]
+    got = operator(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    kept = [bytes(r.kept).decode() if operator is suffix_dedup else r.kept for r in got]
+    assert sorted(x.strip() for x in kept) == sorted([passage, *texts, *(t for i, t in data if i == 7)])
+
+
 def test_exact(docs):
     data = [(r[0], re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")) for r in rows()]
     groups = defaultdict(list)
