@@ -1,4 +1,4 @@
-"""Training-data operators (numbered 1 to 10) and their registered queries.
+"""Training-data operators (numbered 1 to 13) and their registered queries.
 
 Nothing outside this subpackage imports it; `__spark_entry__.py` adds its
 queries only when it can be imported.
