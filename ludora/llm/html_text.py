@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -218,12 +219,13 @@ class Page:
         inside = any(k and main for _, k, main in self.blocks)
         return [k and (main or not inside) for _, k, main in self.blocks]
 
-    def candidates(self) -> tuple[int, list[tuple[int, int, int]]]:
-        """(hash of the longest kept block, 0 if none; elements that may be template: hash, first and last block)."""
+    def candidates(self) -> tuple[int, list[tuple[int, int, int, bool]]]:
+        """(hash of the longest kept block, 0 if none; elements that may be template: hash, first and last block, whether any of these is kept)."""
         kept = self.kept()
         longest = max((k for k in range(len(kept)) if kept[k]), key=lambda k: (len(self.blocks[k][0]), -k), default=-1)
         mark = hashlib.blake2b(self.blocks[longest][0].encode("utf-8", "replace"), digest_size=8).digest() if longest >= 0 else bytes(8)
-        found = [(h, a, b) for h, a, b, prose, main in self.elements if not a <= longest <= b and not (prose and main)]
+        before = [0, *accumulate(kept)]
+        found = [(h, a, b, before[b + 1] > before[a]) for h, a, b, prose, main in self.elements if not a <= longest <= b and not (prose and main)]
         return int.from_bytes(mark, "big", signed=True), found
 
 
@@ -238,8 +240,8 @@ def parsed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
                 mark, found = page.candidates()
                 marks.append(mark)
                 blocks.append([b[0] if k else None for b, k in zip(page.blocks, page.kept(), strict=True)])
-                elements.append([dict(zip(("hash", "first", "last"), e, strict=True)) for e in found])
-            kind = pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+                elements.append([dict(zip(("hash", "first", "last", "open"), e, strict=True)) for e in found])
+            kind = pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("open", pa.bool_())]))
             columns = [*(batch.column(c) for c in ("row", "page_id", "url", "host")), pa.array(marks, pa.int64()), pa.array(blocks, pa.list_(pa.string())), pa.array(elements, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "page_id", "url", "host", "mark", "blocks", "elements"])
 
@@ -247,7 +249,7 @@ def parsed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     host = F.coalesce(F.lower(F.regexp_extract(url_text, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(page_id).alias("page_id"), url_text.alias("url"), host.alias("host"), F.col(html).cast("string").alias("html"))
     key = pages.schema[page_id].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, page_id {key}, url string, host string, mark long, blocks array<string>, elements array<struct<hash:long,first:int,last:int>>")
+    return rows.mapInArrow(run, f"row long, page_id {key}, url string, host string, mark long, blocks array<string>, elements array<struct<hash:long,first:int,last:int,open:boolean>>")
 
 
 def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -271,7 +273,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     """
     parsed = materialise(parsed_pages(pages, page_id, url, html), "pages")
     templates = materialise(site_templates(parsed, min_pages).select("host", "hash"), "templates")
-    each = parsed.select("row", "host", F.explode("elements").alias("e")).select("row", "host", F.col("e.hash").alias("hash"), F.col("e.first").alias("first"), F.col("e.last").alias("last"))
+    # subtrees without a block that is still there need no look-up
+    each = parsed.select("row", "host", F.explode(F.filter("elements", lambda e: e["open"])).alias("e")).select("row", "host", F.col("e.hash").alias("hash"), F.col("e.first").alias("first"), F.col("e.last").alias("last"))
     ranges = each.join(templates, ["host", "hash"]).groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     joined = parsed.drop("host", "mark", "elements").join(materialise(ranges, "ranges"), "row", "left")
     inside = lambda k: F.exists("gone", lambda g: (g["first"] <= k) & (k <= g["last"]))
