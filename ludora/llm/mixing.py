@@ -85,17 +85,22 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: str = "lang") -> Dom
 
 
 def classified(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """`docs` with two more columns: _tokens (whitespace words) and _p (posteriors in the model's order)."""
+    """`docs` with two more columns: _tokens (whitespace words) and _p (posteriors in the model's order).
 
-    def run(batches):
-        for batch in batches:
-            texts = binary_values(batch.column("text"))
-            tokens = [len(word_bounds(np.frombuffer(t, np.uint8))[0]) if t else 0 for t in texts]
-            p = [model.posteriors(t).tolist() for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))], [*batch.schema.names, "_tokens", "_p"])
+    Only the texts go to Python and only the numbers come back.
+    """
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_tokens long", "_p array<double>"])
-    return docs.mapInArrow(run, schema)
+    @F.arrow_udf("struct<tokens:long,p:array<double>>")
+    def judge(texts: pa.Array) -> pa.Array:
+        tokens, p = [], []
+        for one in texts.cast(pa.large_binary()):
+            text = one.as_py() or b""
+            tokens.append(len(word_bounds(np.frombuffer(text, np.uint8))[0]) if text else 0)
+            p.append(model.posteriors(text).tolist())
+        return pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), pa.array(p, pa.list_(pa.float64()))], ["tokens", "p"])
+
+    judged = docs.withColumn("_judged", judge(F.col("text").cast("string")))
+    return judged.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("_judged.tokens").alias("_tokens"), F.col("_judged.p").alias("_p"))
 
 
 def _rate(steps: list[np.ndarray]) -> Column:
@@ -131,7 +136,7 @@ def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     return steps
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang") -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", columns: list[str] | None = None) -> DataFrame:
     """`docs` with n_tokens, posteriors (map), rate and copies.
 
     `targets` are domain weights; expected tokens per domain are driven to their
@@ -140,19 +145,25 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: s
     copies is the rate rounded up or down by a hash of the id, so that it is the
     rate on average.
 
+    Every document is classified once: its columns, tokens and posteriors are written, and fit
+    and result read that table.  `columns` names the columns of `docs` to return
+    (default: all); a caller that needs only ids keeps the texts out of the table.
+
     Null or empty text: no tokens, the labelled shares as posteriors, and the rate
     that these give.  A null id is hashed like any other value; repeated rows
-    get the same rate.  All columns of `docs` are returned; the four new names replace
-    columns that clash with them.
+    get the same rate.  The four new names, and _tokens, _p and _judged, replace columns
+    that clash with them.
     """
-    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_tokens", "_p")
+    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_tokens", "_p", "_judged")
+    kept = [c for c in docs.columns if columns is None or c in columns]
     model = fit_domains(docs, labels, domain)
-    narrow = materialise(classified(docs.select("text"), model).select("_tokens", "_p"), "posteriors")
+    rows = materialise(classified(docs, model).select(*(F.col(f"`{c}`") for c in kept), F.xxhash64("doc_id", F.lit(8)).alias("_hash"), "_tokens", "_p"), "posteriors")
     wanted = np.array([max(0.0, targets.get(d, 0.0)) for d in model.domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(wanted), 1 / len(wanted))
+    narrow = rows.select("_tokens", "_p")
     total = float(narrow.agg(F.sum("_tokens")).first()[0] or 0)
     steps = fit_rates(narrow, wanted * total) if total else []
-    uniform = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    out = classified(docs, model).withColumn("rate", _rate(steps))
+    uniform = F.pmod("_hash", F.lit(1 << 30)) / float(1 << 30)
     named = F.map_from_arrays(F.array(*(F.lit(d) for d in model.domains)), F.col("_p"))
-    return out.withColumn("posteriors", named).withColumnRenamed("_tokens", "n_tokens").withColumn("copies", (F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long")).cast("long")).drop("_p")
+    out = rows.withColumn("rate", _rate(steps)).withColumn("posteriors", named).withColumnRenamed("_tokens", "n_tokens")
+    return out.withColumn("copies", (F.floor("rate") + (uniform < F.col("rate") - F.floor("rate")).cast("long")).cast("long")).drop("_p", "_hash")

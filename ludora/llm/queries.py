@@ -65,7 +65,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+    out = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS, columns=["doc_id"])
     return out.select("doc_id", "n_tokens", "posteriors", "rate", "copies")
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 from base64 import b32encode
-from collections import defaultdict
+from collections import Counter, defaultdict
 from zlib import crc32
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ludora.llm import queries
 from ludora.llm.decontam import contained_items, decontaminate
@@ -166,17 +169,67 @@ def test_mixing(spark, labelled):
     assert np.mean(right) > 0.95
     odd = mix(documents(spark), spark.createDataFrame([(k,) for k in range(30)], "doc_id long"), targets)
     assert odd.count() == len(rows()) and set(documents(spark).columns) <= set(odd.columns)
+    assert mix(documents(spark).withColumn("_p", F.lit(1)).withColumn("rate", F.lit("x")), labels, targets, columns=["doc_id"]).columns == ["doc_id", "n_tokens", "rate", "posteriors", "copies"]
     assert mix(documents(spark, 0), labels, targets).count() == 0
 
 
+def test_mixing_against_brute_force(spark):
+    """Posteriors by plain naive Bayes over trigrams in dictionaries, rates by the same least squares in numpy."""
+    rng = random.Random(2)
+    texts = {k: " ".join("".join(rng.choice("abcd" if k % 3 else "xyzé") for _ in range(5)) for _ in range(rng.randint(0, 30))) for k in range(90)}
+    texts |= {90: None, 91: "", 92: "ab"}
+    data = [(k, t, "p" if k % 3 else "q") for k, t in texts.items()]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k,) for k in range(40)], "doc_id long")
+    got = {r.doc_id: r for r in mix(docs, labels, {"p": 0.25, "q": 0.75}).collect()}
+
+    grams = lambda t: [t[i: i + 3] for i in range(len(t) - 2)]
+    bucket = lambda g: ((g[0] | g[1] << 8 | g[2] << 16) * 2654435761 % (1 << 32)) >> 19
+    known = {d: [k for k in range(40) if ("p" if k % 3 else "q") == d] for d in "pq"}
+    sums = {d: Counter(bucket(g) for k in ids for g in grams((texts[k] or "").encode())) for d, ids in known.items()}
+    p = {}
+    for k, t in texts.items():
+        found = [bucket(g) for g in grams((t or "").encode())]
+        logit = []
+        for d in "pq":
+            size = sum(sums[d].values()) + 0.5 * 8192
+            evidence = sum(math.log((sums[d][g] + 0.5) / size) for g in found)
+            logit.append(math.log(len(known[d]) / 40) + (evidence * min(len(found), 60) / len(found) if found else 0))
+        e = np.exp(np.array(logit) - max(logit))
+        p[k] = e / e.sum()
+        assert np.allclose([got[k].posteriors[d] for d in "pq"], p[k], atol=1e-9)
+        assert got[k].n_tokens == len((t or "").split()) and got[k].rate >= 0
+    tokens = np.array([got[k].n_tokens for k in texts], float)
+    rate, post = np.array([got[k].rate for k in texts]), np.array([p[k] for k in texts])
+    target = np.array([0.25, 0.75]) * tokens.sum()
+    assert np.abs(post.T @ (tokens * rate) - target).max() <= 1e-6 * tokens.sum()
+    # the fit moves rates along the posteriors from one, as little as the targets need: rates are a cut linear function of them
+    free = rate > 0
+    line = np.linalg.lstsq(np.c_[post[free]], rate[free] - 1, rcond=None)[0]
+    assert np.allclose(post[free] @ line, rate[free] - 1, atol=1e-6) or (~free).any()
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
     docs = spark.createDataFrame([r[:5] for r in rows()], "doc_id long, text string, lang string, source string, n_chars long")
     passage = rows()[-1][1]
     assert [len(p.STAGES), p.ORACLE_SQL] == [5, None]
-    found = {r.doc_id: r.component_id for r in queries.simhash_components(docs).collect()}
-    assert bag(r.doc_id for r in p.simhash(spark, docs, SF).collect() if r.doc_id is not None) == bag(r[0] for r in rows() if r[0] is not None and found[r[0]] == r[0])
+    unique = spark.createDataFrame([r[:5] for r in {r[0]: r for r in rows() if r[0] is not None}.values()], docs.schema)
+    classes = {r.component_id for r in queries.simhash_components(unique).collect()}
+    stay = p.simhash(spark, unique, SF)
+    assert stay.columns == docs.columns and stay.count() == len(classes)
+    assert bag(r.doc_id for r in stay.collect()) == bag(classes)
+    # null ids and repeated rows: one row of each component
+    text = "some words that make a fingerprint of their own"
+    odd = spark.createDataFrame([(5, text, "en", "s", 1), (None, text, "de", "s", 1), (None, "quite another text stands here alone", "en", "s", 1), (None, "quite another text stands here alone", "en", "s", 2), (5, text, "en", "s", 1)], docs.schema)
+    assert bag((r.doc_id, r.text) for r in p.simhash(spark, odd, SF).collect()) == bag([(5, text), (None, "quite another text stands here alone")])
+    none = spark.createDataFrame([], docs.schema)
+    clash = docs.select("*", F.lit(1).alias("rate"), F.lit("x").alias("digest"), F.lit(2).alias("_row"), F.lit(3).alias("component_id"))
+    for name, stage in p.STAGES:
+        assert stage(spark, none, SF).count() == 0, name
+        assert set(stage(spark, clash, SF).columns) >= set(docs.columns), name
+    assert p.toxicity(spark, docs, SF).columns == p.decontamination(spark, docs, SF).columns == docs.columns
     assert p.line_dedup(spark, docs, SF).columns == docs.columns
     out = p.run(spark, SF)
     everything = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -197,5 +250,5 @@ def test_query(spark, name):
         want = con.sql(sql).df()
         assert sorted(want.columns) == sorted(out.columns)
         assert bag(out[sorted(out)].astype(str).values.tolist()) == bag(want[sorted(out)].astype(str).values.tolist())
-    key = "page_id" if name == "op1_warc" else "doc_id"
+    key = {"op1_warc": "page_id", "op11_html_extraction": "page_id", "op13_spelling_variants": "word"}.get(name, "doc_id")
     assert len(out) and key in out and not re.search("limit|sample", name) and SCHEMA
