@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.text import drop_stop_words, word_tokens
+from ..operators.split import dense_index
 from ..operators.tfidf import tfidf
 
 
@@ -57,6 +58,17 @@ class CBFModel:
         return (pairs.join(scored, ["author_id", "app_id"], "left")
                 .withColumn(out, F.coalesce(F.col(out), F.lit(0.0))))
 
+    def sparse_vectors(self, out: str = "cbf") -> tuple[DataFrame, DataFrame]:
+        """(author_id, out_t, out_w) and (app_id, out_t, out_w): numbered terms and weights, for the blocked scorer."""
+        terms = dense_index(self.vectors, "term", index_col="t")
+
+        def packed(rows, key, weight):
+            lists = rows.join(terms, "term").groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("t").cast("int").alias("t"), F.col(weight).alias("w")))).alias("x"))
+            return lists.select(key, F.col("x.t").alias(f"{out}_t"), F.col("x.w").alias(f"{out}_w"))
+
+        titles = packed(self.vectors, "title", "weight")
+        return packed(self.profiles(), "author_id", "pw"), self.item_title.join(titles, "title").drop("title")
+
     def nonzero_scores(self, users: DataFrame, seen: DataFrame, out: str = "cbf_raw") -> DataFrame:
         """All unseen items with a non-zero score for the given users."""
         prof = self.profiles().join(users.select("author_id").distinct(), "author_id", "left_semi")

@@ -36,6 +36,10 @@ class EmbedModel:
         return per.groupBy("author_id").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))), lambda s: s["x"]).alias("uemb"))
 
+    def vectors(self, out: str = "we") -> tuple[DataFrame, DataFrame]:
+        """(author_id, out) and (app_id, out), scored by their cosine."""
+        return self.user_emb().withColumnRenamed("uemb", out), self.item_emb.withColumnRenamed("emb", out)
+
     def score_pairs(self, pairs: DataFrame, out: str = "we_raw") -> DataFrame:
         s = pairs.join(self.user_emb(), "author_id", "left").join(self.item_emb, "app_id", "left")
         val = F.when(F.col("uemb").isNotNull() & F.col("emb").isNotNull(), cosine(F.col("uemb"), F.col("emb")))

@@ -1,13 +1,8 @@
-"""Matrix factorisation recommenders (RC-1, RC-2, RC-3, RC-6) on Spark ALS.
+"""Matrix factorisation recommenders (RC-1, RC-2, RC-3) on Spark ALS.
 
 The factor tables stay distributed DataFrames: scoring joins candidate rows
 to user and item factors and takes the dot product with array functions,
 so nothing of size users x factors passes through the driver.
-
-RC-6, the factorisation machine on one-hot (user, item) features, is the
-model w0 + w_u + w_i + <v_u, v_i>: a biased matrix factorisation.  It is
-fitted here the same way as RC-2 (grouped, damped bias means; ALS on the
-residual) with its own rank.
 """
 
 from __future__ import annotations
@@ -21,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import dot
 from ..operators.clean import dedup_first
 from ..operators.split import dense_index
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, written
 
 
 @dataclass
@@ -33,6 +28,7 @@ class MFModel:
     mu: float = 0.0
     user_bias: DataFrame | None = None   # (author_id, bu)
     item_bias: DataFrame | None = None   # (app_id, bi)
+    rank: int = 0
 
     def score_pairs(self, pairs: DataFrame, out: str = "cf_raw") -> DataFrame:
         """Raw prediction per (author_id, app_id); unknown user or item -> 0 (RC-19)."""
@@ -50,6 +46,19 @@ class MFModel:
             s = s.withColumn(out, F.when(known, val).otherwise(F.lit(0.0)))
         return s.drop("pf", "qf")
 
+    def vectors(self, out: str = "cf") -> tuple[DataFrame, DataFrame]:
+        """(author_id, out) and (app_id, out): arrays whose dot product is the raw prediction."""
+        uf = self.users.join(self.user_factors, F.col("u") == F.col("id")).select("author_id", F.col("features").cast("array<double>").alias("v"))
+        itf = self.items.join(self.item_factors, F.col("i") == F.col("id")).select("app_id", F.col("features").cast("array<double>").alias("v"))
+        if self.user_bias is None:
+            return uf.withColumnRenamed("v", out), itf.withColumnRenamed("v", out)
+        one = F.array(F.lit(1.0))
+        # known: both biases; without factors their product is zero
+        none = F.array_repeat(F.lit(0.0), self.rank)
+        users = self.user_bias.join(uf, "author_id", "left").select("author_id", F.concat(F.coalesce("v", none), F.array("bu"), one).alias(out))
+        items = self.item_bias.join(itf, "app_id", "left").select("app_id", F.concat(F.coalesce("v", none), one, F.array(F.col("bi") + F.lit(self.mu))).alias(out))
+        return users, items
+
 
 def _ratings(train: DataFrame) -> DataFrame:
     """Dedup (user, item) keeping the earliest row (ST-2), label as rating."""
@@ -72,12 +81,12 @@ def fit_mf(train: DataFrame, rank: int = 20, reg: float = 0.01, iters: int = 15,
     users = dense_index(r, "author_id", index_col="u")
     items = dense_index(r, "app_id", index_col="i")
     m = _als(r, users, items, rank, reg, iters, seed)
-    return MFModel(users, items, m.userFactors, m.itemFactors)
+    return MFModel(users, items, m.userFactors, m.itemFactors, rank=rank)
 
 
 def fit_biased_mf(train: DataFrame, rank: int = 20, reg: float = 0.01, iters: int = 15,
                   seed: int = 42, damping: float = 1.0) -> MFModel:
-    """RC-2 / RC-6: mu + b_u + b_i + P.Q; biases are damped grouped means."""
+    """RC-2: mu + b_u + b_i + P.Q; biases are damped grouped means."""
     r = _ratings(train)
     mu = r.select(F.avg("r")).first()[0] or 0.0
     bu = r.groupBy("author_id").agg((F.sum(F.col("r") - mu) / (F.count(F.lit(1)) + damping)).alias("bu"))
@@ -87,17 +96,22 @@ def fit_biased_mf(train: DataFrame, rank: int = 20, reg: float = 0.01, iters: in
     users = dense_index(r, "author_id", index_col="u")
     items = dense_index(r, "app_id", index_col="i")
     m = _als(resid, users, items, rank, reg, iters, seed)
-    return MFModel(users, items, m.userFactors, m.itemFactors, mu, bu, bi)
+    return MFModel(users, items, m.userFactors, m.itemFactors, mu, bu, bi, rank)
 
 
 def cf_recommendations(model: MFModel, users: DataFrame, ranked_items: DataFrame, seen: DataFrame,
                        titles: DataFrame, n: int = 10) -> DataFrame:
-    """RC-3: top-n unseen items by CF score with their titles (JN-7 + SL-4 + JN-5)."""
-    from ..operators.candidates import candidate_pool
-    from ..operators.scoring import top_k
+    """RC-3: top-n unseen items by CF score with their titles (JN-7 + SL-4 + JN-5).
+
+    Items come in order of falling norm, so most chunks cannot reach a user's n-th score and are skipped.
+    """
+    from ..operators.blocked import Base, top_items
 
-    cands = candidate_pool(users, ranked_items, seen, cap=None).select("author_id", "app_id")
-    top = top_k(model.score_pairs(cands, "score"), n)
+    of_users, of_items = model.vectors("cf")
+    u = written(dense_index(users, "author_id", index_col="u").join(of_users, "author_id", "left"), "rc3-users")
+    i = ranked_items.select("app_id", F.col("item_rank").alias("i"))
+    known = seen.select("author_id", "app_id").distinct().join(u.select("author_id", "u"), "author_id").join(i, "app_id").select("u", "i")
+    top = top_items(u, i.join(of_items, "app_id", "left"), [Base("cf")], n, seen=known)
     t = titles.select("app_id", "title").dropDuplicates(["app_id"])
-    return (top.join(t, "app_id", "left")
+    return (top.join(u.select("u", "author_id"), "u").join(i, "i").join(t, "app_id", "left")
             .select("author_id", "rank", "app_id", F.coalesce("title", F.lit("Title Missing")).alias("title"), "score"))

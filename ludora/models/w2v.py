@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, whitespace_tokens
-from ..functions.vectors import dot, l2_norm
+from ..functions.vectors import l2_norm
+from ..operators.split import dense_index
+from ..session import written
 
 
 @dataclass
@@ -56,29 +58,35 @@ def fit_w2v(ratings: DataFrame, items: DataFrame, dim: int = 30, window: int = 3
 
 def w2v_recommend(model: W2VModel, users: DataFrame, ranked_items: DataFrame, n: int = 5,
                   seed: int = 42) -> DataFrame:
-    """Top-n per requested user with positive ratings (others get no rows, as the reference)."""
-    from ..operators.candidates import candidate_pool
-    from ..operators.scoring import max_norm_per_user, top_k
+    """Top-n per requested user with positive ratings (others get no rows, as the reference).
+
+    Every product is taken in blocks.  A user all of whose scores are zero gets n
+    unrated items from a pseudo-random place of the catalogue on (RC-10).
+    """
+    from ..operators.blocked import Base, top_items
 
     liked = model.likes.join(users.select("author_id").distinct(), "author_id", "left_semi")
     prof = (liked.join(model.items.select("app_id", "unit"), "app_id")
             .select("author_id", F.posexplode("unit").alias("d", "x"))
             .groupBy("author_id", "d").agg(F.sum("x").alias("x"))
             .groupBy("author_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))),
-                                                  lambda s: s["x"]).alias("p")))
-    active = prof.select("author_id")
-    cands = candidate_pool(active, ranked_items.join(model.items.select("app_id"), "app_id", "left_semi"),
-                           model.likes, cap=None)
-    scored = (cands.join(prof, "author_id").join(model.items, "app_id")
-              .withColumn("score", dot(F.col("p"), F.col("unit")))
-              .drop("p", "unit"))
-    scored = max_norm_per_user(scored, "score")
-    w = Window.partitionBy("author_id")
-    scored = scored.withColumn("is_fallback", F.sum(F.abs("score")).over(w) == 0)
-    # fallback order: seeded hash of (user, item) among unrated items (RC-10)
-    scored = scored.withColumn("_h", F.when(F.col("is_fallback"), F.xxhash64(F.lit(seed), "author_id", "app_id")))
-    normal = top_k(scored.where(~F.col("is_fallback")), n)
-    fb = scored.where(F.col("is_fallback")).withColumn("rank", F.row_number().over(
-        Window.partitionBy("author_id").orderBy("_h", "app_id"))).where(F.col("rank") <= n)
-    cols = ["author_id", "app_id", "title", "cluster", "score", "is_fallback", "rank"]
-    return normal.select(*cols).unionByName(fb.select(*cols))
+                                                  lambda s: s["x"]).alias("v")))
+    u = written(dense_index(prof, "author_id", index_col="u").join(prof, "author_id"), "w2v-users")
+    known = ranked_items.join(model.items.select("app_id"), "app_id", "left_semi")
+    i = written(dense_index(known, "item_rank", index_col="i").join(known, "item_rank").select("app_id", "i"), "w2v-items")
+    rated = written(model.likes.distinct().join(u.select("author_id", "u"), "author_id").join(i, "app_id").select("u", "i"), "w2v-rated")
+    vectors = i.join(model.items.select("app_id", F.col("unit").alias("v")), "app_id")
+    top = written(top_items(u, vectors, [Base("v")], n, lambda raw, lo, hi: raw, rated), "w2v-top")
+    flat = (F.col("least") == 0) & (F.col("most") == 0)
+    normal = top.where(~flat).select("u", "i", F.when(F.col("most") > 0, F.col("score") / F.col("most")).otherwise(F.col("score")).alias("score"), F.lit(False).alias("is_fallback"), "rank")
+    n_items = i.select(F.count(F.lit(1))).scalar()
+    n_rated = rated.groupBy("u").agg(F.count(F.lit(1)).alias("n_rated"))
+    start = F.pmod(F.xxhash64(F.lit(seed), "u"), n_items)
+    width = F.least(F.coalesce("n_rated", F.lit(0)) + F.lit(n), n_items)
+    tried = (top.where(flat).select("u").distinct().join(n_rated, "u", "left")
+             .select("u", start.alias("start"), F.explode(F.sequence(F.lit(0).cast("long"), width - 1)).alias("step"))
+             .select("u", "step", F.pmod(F.col("start") + F.col("step"), n_items).alias("i")).join(rated, ["u", "i"], "left_anti"))
+    fallback = tried.withColumn("rank", F.row_number().over(Window.partitionBy("u").orderBy("step"))).where(F.col("rank") <= n)
+    both = normal.unionByName(fallback.select("u", "i", F.lit(0.0).alias("score"), F.lit(True).alias("is_fallback"), "rank"))
+    return (both.join(u.select("u", "author_id"), "u").join(i, "i").join(model.items.drop("unit"), "app_id")
+            .select("author_id", "app_id", "title", "cluster", "score", "is_fallback", "rank"))

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from ..models import hybrid
 from ..models.cbf import fit_cbf
 from ..operators import clean
-from ..operators.candidates import candidate_pool
-from ..operators.scoring import max_norm_per_user, minmax_per_user, top_k
+from ..operators.blocked import Base, spread, top_items
+from ..operators.scoring import top_k
 from ..operators.split import first_users
+from ..session import written
 from ..sources import fixtures
 from ..sources.csv import with_surrogate_id
+from . import compare
 from .catalog import register, rnd
 from .sql import with_
 from .stages import stages
@@ -109,33 +111,30 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY model, author_id ORDER BY round
  CAST(app_id AS VARCHAR)) AS rank FROM lg)"""
 
 
-def _scored_grid(s, sf):
-    """Every unseen item of every test user: cf_raw (popularity), cbf_raw and both normalised per user."""
+def _popularity_and_cbf(s, sf):
+    """Every test user and train item with the vectors of popularity (the same for all users) and CBF."""
     st = stages(s, sf)
-    users = first_users(st.test, None)
-    grid = candidate_pool(users, st.train_ranked_items, st.train.select("author_id", "app_id"), cap=None)
-    grid = grid.select("author_id", "app_id")
     pop = (st.train.where(F.col("is_positive_encoded") == 1).groupBy("app_id")
            .agg(F.count(F.lit(1)).cast("double").alias("pop")))
-    g = grid.join(pop, "app_id", "left").withColumn("cf_raw", F.coalesce("pop", F.lit(0.0))).drop("pop")
-    g = fit_cbf(st.train, st.items).score_pairs(g, "cbf_raw")
-    g = minmax_per_user(g, "cf_raw", out="cf")
-    return max_norm_per_user(g, "cbf_raw", out="cbf")
+    u, i, seen, bases = compare.blocked_tables(st, first_users(st.test, None), st.train_ranked_items, {"cbf": fit_cbf(st.train, st.items)})
+    i = i.join(pop, "app_id", "left").withColumn("cf", F.array(F.coalesce("pop", F.lit(0.0))))
+    return u.withColumn("cf", F.array(F.lit(1.0))), i, seen, [Base("cf"), *bases]
 
 
 @register("rc11_rc13_rc18_hybrids_popularity_cf", with_(["test_users", "train", "cbf_nz"], """SELECT model, author_id,
  app_id, CAST(rank AS INT) AS rank, round(score, 9) AS score FROM rk WHERE rank <= 20""", extra=_GRID))
 def q_hybrids(s, sf):
-    g = _scored_grid(s, sf)
-    g = hybrid.weighted_renormalized(g, "cf", "cbf", 0.5, "h05")
-    g = g.withColumn("h03", hybrid.weighted(F.col("cf"), F.col("cbf"), 0.3))
-    g = g.withColumn("hmean", hybrid.mean_stacker(["cf", "cbf"]))
-    long = g.select("author_id", "app_id", F.inline(F.array(
-        F.struct(F.lit("Hybrid_0.3_0.7").alias("model"), F.col("h03").alias("score")),
-        F.struct(F.lit("Hybrid_0.5_0.5_renorm").alias("model"), F.col("h05").alias("score")),
-        F.struct(F.lit("Mean_stacker").alias("model"), F.col("hmean").alias("score")))))
-    top = top_k(long, 20, by=("model", "author_id"))
-    return top.select("model", "author_id", "app_id", F.col("rank").cast("int").alias("rank"), *rnd("score"))
+    u, i, seen, bases = _popularity_and_cbf(s, sf)
+
+    def combine(raw, lo, hi):
+        n = compare.normalise(raw, lo, hi)
+        return {"Hybrid_0.3_0.7": hybrid.weighted_scores(n["cf"], n["cbf"], 0.3),
+                "Hybrid_0.5_0.5_renorm": compare.half_renormalised(n, lo, hi),
+                "Mean_stacker": hybrid.stacked_scores([n["cf"], n["cbf"]], None)}
+
+    top = top_items(u, i, bases, 20, combine, seen, scaled=True)
+    named = top.join(u.select("u", "author_id"), "u").join(i.select("i", "app_id"), "i")
+    return named.select(F.col("label").alias("model"), "author_id", "app_id", "rank", *rnd("score"))
 
 
 @register("rc12_raw_hybrid_components", with_(["test_users", "train", "cbf_nz"], """SELECT r.author_id, r.app_id, t.title,
@@ -146,11 +145,17 @@ def q_hybrids(s, sf):
                                                extra=_GRID))
 def q_rc12(s, sf):
     """RC-12: the CF score enters as it is; both components stay beside the hybrid score."""
-    g = _scored_grid(s, sf).withColumn("score", hybrid.weighted(F.col("cf_raw"), F.col("cbf"), 0.3))
+    u, i, seen, bases = _popularity_and_cbf(s, sf)
+    ends = written(spread(u, i, bases, seen), "spread")
+    top = top_items(u, i, bases, 10, lambda raw, lo, hi: {"h": hybrid.weighted_scores(raw["cf"], compare.max_norm(raw["cbf"], hi["cbf"]), 0.3)},
+                    seen, scaled=True, extremes=ends)
+    rows = top.join(u.select("u", "author_id"), "u").join(i.select("i", "app_id", "pop"), "i").join(ends, "u")
+    rows = fit_cbf(stages(s, sf).train, stages(s, sf).items).score_pairs(rows, "cbf_raw")
+    most = F.col("hi")[1]
     titles = stages(s, sf).interactions.groupBy("app_id").agg(F.min("title").alias("title"))
-    top = top_k(g, 10).join(titles, "app_id", "left")
-    return top.select("author_id", "app_id", "title", F.col("rank").cast("int").alias("rank"),
-                      *(F.round(c, 9).alias(name) for c, name in (("cf_raw", "cf_score"), ("cbf", "cbf_score"), ("score", "hybrid_score"))))
+    return rows.join(titles, "app_id", "left").select(
+        "author_id", "app_id", "title", "rank", F.round(F.coalesce("pop", F.lit(0.0)), 9).alias("cf_score"),
+        F.round(F.when(most > 0, F.col("cbf_raw") / most).otherwise(F.col("cbf_raw")), 9).alias("cbf_score"), F.round("score", 9).alias("hybrid_score"))
 
 
 @register("sl5_demote_seen_top5", with_(["test_users", "train", "cbf_nz"], """SELECT author_id, app_id, CAST(rank AS INT) AS rank,
@@ -161,12 +166,14 @@ def q_rc12(s, sf):
    CROSS JOIN (SELECT DISTINCT app_id FROM train) i) c
  LEFT JOIN cbf_nz z ON z.author_id = c.author_id AND z.app_id = c.app_id) WHERE rank <= 5"""))
 def q_sl5(s, sf):
+    """Unseen items by score in blocks; the seen ones, which rank after all others, are few a user and only needed by who has fewer than five unseen."""
     st = stages(s, sf)
-    users = st.test.select("author_id").distinct()
-    grid = candidate_pool(users, st.train_ranked_items,
-                          s.createDataFrame([], "author_id bigint, app_id bigint"), cap=None)
-    seen = st.train.select("author_id", "app_id").distinct().withColumn("seen", F.lit(True))
-    g = (grid.select("author_id", "app_id").join(seen, ["author_id", "app_id"], "left")
-         .withColumn("seen", F.coalesce("seen", F.lit(False))))
-    g = fit_cbf(st.train, st.items).score_pairs(g, "score")
-    return top_k(g, 5, demote=F.col("seen")).select("author_id", "app_id", F.col("rank").cast("int"), "seen")
+    model = fit_cbf(st.train, st.items)
+    u, i, seen, bases = compare.blocked_tables(st, st.test.select("author_id").distinct(), st.train_ranked_items, {"cbf": model})
+    names = u.select("u", "author_id")
+    top = top_items(u, i, bases, 5, seen=seen).select("u", "i", "score")
+    short = u.select("u").join(top.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n >= 5"), "u", "left_anti")
+    back = seen.join(short, "u").join(names, "u").join(i.select("i", "app_id"), "i").select("author_id", "app_id")
+    unseen = top.join(names, "u").join(i.select("i", "app_id"), "i").select("author_id", "app_id", "score", F.lit(False).alias("seen"))
+    both = unseen.unionByName(model.score_pairs(back, "score").withColumn("seen", F.lit(True)))
+    return top_k(both, 5, demote=F.col("seen")).select("author_id", "app_id", F.col("rank").cast("int"), "seen")

@@ -1,23 +1,25 @@
 """Model comparison pipelines (EV-14, EV-15, EV-16) and their building blocks.
 
-One candidate table is built once, every model adds its score columns to
-it, the wide table is unpivoted to (model, author_id, app_id, score),
-ranked once and evaluated once (PO-3 / SURVEY 3.3).
+Every model gives its users and items vectors; the blocked scorer multiplies
+them, combines the scores of all models on each block and hands on the k
+best items of each model and user, which are evaluated once (PO-3 / SURVEY 3.3).
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..models import hybrid
 from ..models.cbf import fit_cbf
 from ..models.embed import fit_embed
-from ..models.mf import fit_biased_mf, fit_mf
+from ..models.fm import fit_machine
+from ..models.mf import fit_mf
 from ..operators import metrics
-from ..operators.candidates import candidate_pool
-from ..operators.scoring import max_norm_per_user, minmax_per_user, top_k
-from ..operators.split import first_users, hash_sample
+from ..operators.blocked import Base, top_items
+from ..operators.split import dense_index, first_users, hash_sample
+from ..session import written
 from .stages import Stages, materialize, stages
 
 SEED = 42
@@ -59,18 +61,15 @@ def fit_all(st: Stages, seed: int = SEED, which=BASE):
         cbf.item_title = m(cbf.item_title, "cbf_item_title")
         cbf.vectors = m(cbf.vectors, "cbf_vectors")
         cache["cbf"] = cbf
-    for name in ("cf", "fm"):
-        if name in which and name not in cache:
-            mod = (fit_mf(train, rank=20, reg=0.01, iters=15, seed=seed) if name == "cf"
-                   else fit_biased_mf(train, rank=8, reg=1e-4, iters=6, seed=seed))
-            mod.users = m(mod.users, f"{name}_users")
-            mod.items = m(mod.items, f"{name}_items")
-            mod.user_factors = m(mod.user_factors, f"{name}_user_factors")
-            mod.item_factors = m(mod.item_factors, f"{name}_item_factors")
-            if mod.user_bias is not None:
-                mod.user_bias = m(mod.user_bias, f"{name}_user_bias")
-                mod.item_bias = m(mod.item_bias, f"{name}_item_bias")
-            cache[name] = mod
+    if "cf" in which and "cf" not in cache:
+        mod = fit_mf(train, rank=20, reg=0.01, iters=15, seed=seed)
+        mod.users = m(mod.users, "cf_users")
+        mod.items = m(mod.items, "cf_items")
+        mod.user_factors = m(mod.user_factors, "cf_user_factors")
+        mod.item_factors = m(mod.item_factors, "cf_item_factors")
+        cache["cf"] = mod
+    if "fm" in which and "fm" not in cache:
+        cache["fm"] = fit_machine(train, rank=8, reg=1e-4, epochs=6, seed=seed)
     if "we" in which and "we" not in cache:
         we = fit_embed(train, st.items, n_components=30, seed=seed)
         we.item_emb = m(we.item_emb, "we_item_emb")
@@ -87,14 +86,20 @@ def score_candidates(grid: DataFrame, fitted) -> DataFrame:
     return g
 
 
-def normalise(g: DataFrame) -> DataFrame:
-    """Each base model's own per-user normalisation over the candidates."""
-    if "cbf_raw" in g.columns:
-        g = max_norm_per_user(g, "cbf_raw", out="cbf")
-    for name in ("cf", "fm", "we"):
-        if f"{name}_raw" in g.columns:
-            g = minmax_per_user(g, f"{name}_raw", out=name)
-    return g
+def blocked_tables(st: Stages, users: DataFrame, ranked: DataFrame, fitted):
+    """Users (u), items (i) with the vectors of the fitted models, what users have seen, and the models' bases."""
+    u = dense_index(users, "author_id", index_col="u")
+    i = ranked.select("app_id", F.col("item_rank").alias("i"))
+    bases = []
+    for name in (b for b in BASE if b in fitted):
+        of_users, of_items = fitted[name].sparse_vectors(name) if name == "cbf" else fitted[name].vectors(name)
+        # ids meet as text: the machine names its features so
+        u, i = (side.withColumn("_key", F.col(key).cast("string")).join(vectors.select(F.col(key).cast("string").alias("_key"), *(c for c in vectors.columns if c != key)), "_key", "left").drop("_key")
+                for side, key, vectors in ((u, "author_id", of_users), (i, "app_id", of_items)))
+        bases.append(Base(name, {"cbf": "sparse", "we": "cosine"}.get(name, "dot")))
+    u, i = written(u, "users"), written(i, "items")
+    seen = st.train.select("author_id", "app_id").distinct().join(u.select("author_id", "u"), "author_id").join(i.select("app_id", "i"), "app_id")
+    return u, i, written(seen.select("u", "i"), "seen"), bases
 
 
 def meta_rows(st: Stages, fitted, n: int = 3000, seed: int = SEED) -> DataFrame:
@@ -112,62 +117,67 @@ def meta_rows(st: Stages, fitted, n: int = 3000, seed: int = SEED) -> DataFrame:
                     F.coalesce(F.col("is_positive_encoded"), F.lit(0)).alias("label"))
 
 
-def model_scores(g: DataFrame, stacker, models) -> DataFrame:
-    """Wide table -> long (model, author_id, app_id, score)."""
-    cols = {}
-    if CBF in models:
-        cols[CBF] = F.col("cbf")
-    if CF in models:
-        cols[CF] = F.col("cf")
-    if FM in models:
-        cols[FM] = F.col("fm")
-    if WORD_EMB in models:
-        cols[WORD_EMB] = F.col("we")
-    if HYBRID_03 in models:
-        cols[HYBRID_03] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.3)
-    if HYBRID_ALPHA in models:
-        cols[HYBRID_ALPHA] = hybrid.weighted(F.col("cf"), F.col("cbf"), 0.5)
-    if HYBRID_05 in models:
-        g = hybrid.weighted_renormalized(g, "cf", "cbf", 0.5, "h05")
-        cols[HYBRID_05] = F.col("h05")
-    if STACKING in models:
-        g = hybrid.stacked_score(g, stacker, out="stack_p")
-        g = minmax_per_user(g, "stack_p")
-        cols[STACKING] = F.col("stack_p")
-    pairs = F.array(*[F.struct(F.lit(name).alias("model"), c.cast("double").alias("score"))
-                      for name, c in cols.items()])
-    return g.select("author_id", "app_id", F.inline(pairs))
+def minmax(raw, lo, hi):
+    """WN-3 on matrices: scaled by the user's extremes where they differ."""
+    return np.where(hi > lo, (raw - lo) / np.where(hi > lo, hi - lo, 1.0), raw)
+
+
+def max_norm(raw, hi):
+    """WN-5 on matrices."""
+    return np.where(hi > 0, raw / np.where(hi > 0, hi, 1.0), raw)
+
+
+def renormalised(score, lo, hi, eps: float = 1e-9):
+    """WN-4 on matrices."""
+    return np.where(hi != lo, (score - lo) / np.where(hi != lo, hi - lo + eps, 1.0), score)
+
+
+def normalise(raw, lo, hi) -> dict:
+    """Each base model's own per-user normalisation: CBF by its maximum, the others by their range."""
+    return {b: max_norm(x, hi[b]) if b == "cbf" else minmax(x, lo[b], hi[b]) for b, x in raw.items()}
+
+
+def half_renormalised(norm, lo, hi, alpha: float = 0.5):
+    """RC-13: both normalised scores scaled to their range once more, then weighted."""
+    cf = renormalised(norm["cf"], minmax(lo["cf"], lo["cf"], hi["cf"]), minmax(hi["cf"], lo["cf"], hi["cf"]))
+    cbf = renormalised(norm["cbf"], max_norm(lo["cbf"], hi["cbf"]), max_norm(hi["cbf"], hi["cbf"]))
+    return hybrid.weighted_scores(cf, cbf, alpha)
+
+
+def combined(models, stacker):
+    """The models' score matrices from the raw base scores and the users' extremes (RC-11, RC-13, RC-17, RC-18)."""
+
+    def scores(raw, lo, hi) -> dict:
+        n = normalise(raw, lo, hi)
+        out = {m: n[b] for m, b in ((CBF, "cbf"), (CF, "cf"), (FM, "fm"), (WORD_EMB, "we")) if m in models}
+        for m, alpha in ((HYBRID_03, 0.3), (HYBRID_ALPHA, 0.5)):
+            if m in models:
+                out[m] = hybrid.weighted_scores(n["cf"], n["cbf"], alpha)
+        if HYBRID_05 in models:
+            out[HYBRID_05] = half_renormalised(n, lo, hi)
+        if STACKING in models:
+            out[STACKING] = hybrid.stacked_scores([n[b] for b in hybrid.FEATURES], stacker)
+        return out
+
+    return scores
 
 
 def predictions(spark: SparkSession, sf_dir: str, models, users: DataFrame | None = None,
                 universe: str = "train", candidate_limit: int | None = None,
                 sample_users: int | None = None, k: int = 20, seed: int = SEED) -> DataFrame:
+    """Top-k of every model for every user over all unseen items of the universe (the first `candidate_limit`, if given)."""
     st = stages(spark, sf_dir)
     users = users if users is not None else first_users(st.test, sample_users)
     ranked = st.train_ranked_items if universe == "train" else st.ranked_items
-    seen = st.train.select("author_id", "app_id")
-    grid = candidate_pool(users, ranked, seen, cap=candidate_limit).select("author_id", "app_id")
     fitted = fit_all(st, seed, needed(models))
-    if candidate_limit is not None:
-        # a capped grid is small and feeds several scorers: write it once
-        grid = materialize(grid, f"grid-{universe}-{candidate_limit}-{sample_users}", st.root)
-        scored = score_candidates(grid, fitted)
-    else:
-        # every unseen item of every user: stream the grid once; CBF scores
-        # come from the sparse non-zero table (<= users x titles rows)
-        rest = {k: v for k, v in fitted.items() if k != "cbf"}
-        scored = score_candidates(grid, rest)
-        if "cbf" in fitted:
-            nz = fitted["cbf"].nonzero_scores(users, seen)
-            scored = (scored.join(nz, ["author_id", "app_id"], "left")
-                      .withColumn("cbf_raw", F.coalesce("cbf_raw", F.lit(0.0))))
-    stacker = None
-    if STACKING in models:
-        stacker = hybrid.fit_stacker(meta_rows(st, fitted, seed=seed))
-    g = normalise(scored)
-    long = model_scores(g, stacker, models)
-    top = top_k(long, k, by=("model", "author_id"))
-    return top.select("model", "author_id", "app_id", F.col("rank").cast("int").alias("rank"), "score")
+    stacker = hybrid.stacker_weights(hybrid.fit_stacker(meta_rows(st, fitted, seed=seed))) if STACKING in models else None
+    u, i, seen, bases = blocked_tables(st, users, ranked, fitted)
+    top = top_items(u, i, bases, k, combined(models, stacker), seen, candidate_limit, scaled=True)
+    # the stacker's probability is scaled per user at the end, which keeps its order
+    spread = F.col("most") > F.col("least")
+    score = F.when((F.col("label") == STACKING) & spread, (F.col("score") - F.col("least")) / (F.col("most") - F.col("least"))).otherwise(F.col("score"))
+    named = top.join(u.select("u", "author_id"), "u").join(i.select("i", "app_id"), "i")
+    return named.select(F.col("label").alias("model"), "author_id", "app_id", "rank", score.alias("score"))
 
 
 def evaluate(spark: SparkSession, sf_dir: str, preds: DataFrame, users: DataFrame | None,

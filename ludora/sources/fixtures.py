@@ -47,26 +47,30 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review per row of lineitem.  Some games have no review, some reviews no game, some users one review; texts are long, short or missing."""
     docs = table(spark, sf_dir, "documents")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     lines = (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_quantity") >= 48)
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_partkey").alias("app_id"),
-            F.col("l_orderkey"),
+            F.when(F.col("l_partkey") % 500 == 7, F.col("l_partkey") + 90000000)
+             .when(F.col("l_partkey") % 20 == 0, F.col("l_partkey") - 1)
+             .otherwise(F.col("l_partkey")).alias("app_id"),
+            "l_orderkey", "l_linenumber", "l_linestatus",
             F.when(F.col("l_returnflag") == "R", F.lit("Negative"))
              .otherwise(F.lit("Positive")).alias("is_positive"),
         )
-        .withColumn("doc_key", F.col("id") % (n_docs + 50))
+        .withColumn("doc_key", F.col("id") % (16 * (n_docs + 50)))
     )
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("author_id"))
-    texts = docs.select(F.col("doc_id").alias("doc_key"), F.col("text").alias("content"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
+    texts = docs.select(F.col("doc_id").alias("doc_key"), F.col("text"))
+    short = F.rtrim(F.expr("repeat(concat(o_orderpriority, ' ', l_linestatus, ' '), cast(l_linenumber as int))"))
     return (
         lines.join(orders, "l_orderkey")
         .join(texts, "doc_key", "left")
+        .withColumn("author_id", F.when((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 50 == 0), -F.col("l_orderkey")).otherwise(F.col("o_custkey")))
+        .withColumn("content", F.when(F.col("doc_key") < n_docs + 50, F.col("text")).otherwise(short))
         .select(*REVIEWS_COLUMNS)
     )
 
@@ -87,13 +91,15 @@ GAMES_SQL = """SELECT p_partkey AS app_id, p_name AS title,
  p_retailprice / 25 AS price_original,
  CAST((p_size % 4) * 10 AS DOUBLE) AS discount FROM part"""
 
-REVIEWS_SQL = """SELECT l.l_orderkey * 10 + l.l_linenumber AS id, l.l_partkey AS app_id,
- d.text AS content, o.o_custkey AS author_id,
+REVIEWS_SQL = """SELECT l.l_orderkey * 10 + l.l_linenumber AS id,
+ CASE WHEN l.l_partkey % 500 = 7 THEN l.l_partkey + 90000000 WHEN l.l_partkey % 20 = 0 THEN l.l_partkey - 1 ELSE l.l_partkey END AS app_id,
+ CASE WHEN (l.l_orderkey * 10 + l.l_linenumber) % (16 * (c.n + 50)) < c.n + 50 THEN d.text
+  ELSE rtrim(repeat(o.o_orderpriority || ' ' || l.l_linestatus || ' ', CAST(l.l_linenumber AS INT))) END AS content,
+ CASE WHEN l.l_linenumber = 1 AND l.l_orderkey % 50 = 0 THEN -l.l_orderkey ELSE o.o_custkey END AS author_id,
  CASE WHEN l.l_returnflag = 'R' THEN 'Negative' ELSE 'Positive' END AS is_positive
  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
  CROSS JOIN (SELECT count(*) AS n FROM documents) c
- LEFT JOIN documents d ON d.doc_id = (l.l_orderkey * 10 + l.l_linenumber) % (c.n + 50)
- WHERE l.l_quantity >= 48"""
+ LEFT JOIN documents d ON d.doc_id = (l.l_orderkey * 10 + l.l_linenumber) % (16 * (c.n + 50))"""
 
 MERGED_SQL = """SELECT r.id, g.app_id, r.content, r.author_id, r.is_positive,
  g.title, g.date_release, g.win, g.mac, g.linux, g.steam_deck, g.rating, g.positive_ratio,
