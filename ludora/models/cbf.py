@@ -22,6 +22,7 @@ from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.text import drop_stop_words, word_tokens
 from ..operators.split import dense_index
 from ..operators.tfidf import tfidf
+from ..session import written
 
 
 @dataclass
@@ -66,19 +67,9 @@ class CBFModel:
             lists = rows.join(terms, "term").groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("t").cast("int").alias("t"), F.col(weight).alias("w")))).alias("x"))
             return lists.select(key, F.col("x.t").alias(f"{out}_t"), F.col("x.w").alias(f"{out}_w"))
 
-        titles = packed(self.vectors, "title", "weight")
-        return packed(self.profiles(), "author_id", "pw"), self.item_title.join(titles, "title").drop("title")
-
-    def nonzero_scores(self, users: DataFrame, seen: DataFrame, out: str = "cbf_raw") -> DataFrame:
-        """All unseen items with a non-zero score for the given users."""
-        prof = self.profiles().join(users.select("author_id").distinct(), "author_id", "left_semi")
-        title_scores = (prof.join(self.vectors, "term")
-                        .groupBy("author_id", "title")
-                        .agg(F.sum(F.col("weight") * F.col("pw")).alias(out))
-                        .where(F.col(out) != 0))
-        return (title_scores.join(self.item_title, "title")
-                .select("author_id", "app_id", out)
-                .join(seen.select("author_id", "app_id"), ["author_id", "app_id"], "left_anti"))
+        # an app that stands for several titles has the sum of their vectors
+        apps = self.item_title.join(self.vectors, "title").groupBy("app_id", "term").agg(F.sum("weight").alias("weight"))
+        return packed(self.profiles(), "author_id", "pw"), packed(apps, "app_id", "weight")
 
 
 def representatives(items: DataFrame, dedup_titles: bool = True) -> DataFrame:
@@ -104,28 +95,20 @@ def fit_cbf(train: DataFrame, items: DataFrame, max_features: int | None = None,
 
 def cbf_top_k(model: CBFModel, users: DataFrame, ranked_items: DataFrame, seen: DataFrame,
               k: int, normalize: bool = True) -> DataFrame:
-    """Exact top-k over *all* unseen items without a users x items grid.
+    """Exact top-k over *all* unseen items; ties break by app_id string order.
 
-    Non-zero scores come from the profile join.  Every other unseen item
-    scores 0 and ties break by app_id string order, so when a user has
-    fewer than k non-zero items the rest are the smallest-ranked unseen
-    items outside that set -- found in the first k + |seen| + |nonzero|
-    ranks through the binned candidate pool.
+    Users' profiles meet the items' vectors block by block, by the terms that a
+    chunk of items uses, so a term that most titles hold is a column of a block's
+    product and never a join key that all users and titles pass through.
+    Scores are divided by the user's maximum over the unseen items (WN-5).
     -> (author_id, app_id, score, rank)
     """
-    from ..operators.candidates import candidate_pool
-    from ..operators.scoring import max_norm_per_user, top_k
-
-    nz = model.nonzero_scores(users, seen).withColumnRenamed("cbf_raw", "score")
-    nz_top = top_k(nz, k)
-    counts = nz_top.groupBy("author_id").agg(F.count(F.lit(1)).alias("_nz"))
-    short = (users.select("author_id").distinct().join(counts, "author_id", "left")
-             .where(F.coalesce(F.col("_nz"), F.lit(0)) < k).select("author_id"))
-    excluded = seen.select("author_id", "app_id").unionByName(nz_top.select("author_id", "app_id"))
-    fill = (candidate_pool(short, ranked_items, excluded, cap=k)
-            .select("author_id", "app_id", F.lit(0.0).alias("score")))
-    both = nz_top.drop("rank").unionByName(fill)
-    if normalize:
-        # max over candidates equals max over the non-zero scores
-        both = max_norm_per_user(both, "score")
-    return top_k(both, k)
+    from ..operators.blocked import Base, top_items
+
+    of_users, of_items = model.sparse_vectors("cbf")
+    u = written(dense_index(users, "author_id", index_col="u").join(of_users, "author_id", "left"), "cbf-users")
+    i = written(ranked_items.select("app_id", F.col("item_rank").alias("i")).join(of_items, "app_id", "left"), "cbf-items")
+    known = seen.select("author_id", "app_id").distinct().join(u.select("author_id", "u"), "author_id").join(i.select("app_id", "i"), "app_id").select("u", "i")
+    top = top_items(u, i, [Base("cbf", "sparse")], k, seen=known)
+    score = F.when(F.col("most") > 0, F.col("score") / F.col("most")).otherwise(F.col("score")) if normalize else F.col("score")
+    return top.join(u.select("u", "author_id"), "u").join(i.select("i", "app_id"), "i").select("author_id", "app_id", score.alias("score"), "rank")

@@ -21,14 +21,23 @@ DEDUP_ORDER = ("app_id", "author_id", "is_positive", "content")
 
 
 def integrate(reviews: DataFrame, games: DataFrame) -> DataFrame:
-    """JN-1: right outer join on app_id; every game kept, orphan reviews dropped."""
-    r = reviews.alias("r")
-    g = games.alias("g")
-    joined = r.join(g, F.col("r.app_id") == F.col("g.app_id"), "right")
-    cols = [F.col("r.id"), F.col("g.app_id")] + [
-        F.col(f"r.{c}") for c in ("content", "author_id", "is_positive")
-    ] + [F.col(f"g.{c}") for c in MERGED_COLUMNS[5:]]
-    return joined.select(*cols)
+    """JN-1: right outer join on app_id; every game kept, orphan reviews dropped.
+
+    The matches are an inner join and the games without a review an anti
+    join: an outer join cannot split the side that it does not preserve, so
+    a game that holds most reviews would be one task.  AQE splits the inner join's
+    skewed side, and the anti join only sees each reviewed key once per task.
+    """
+    r, g = reviews.alias("r"), games.alias("g")
+    tail = [F.col(f"g.{c}") for c in MERGED_COLUMNS[5:]]
+    met = r.join(g, F.col("r.app_id") == F.col("g.app_id")).select(
+        F.col("r.id"), F.col("g.app_id"), *(F.col(f"r.{c}") for c in ("content", "author_id", "is_positive")), *tail)
+    reviewed = reviews.select(F.col("app_id").alias("_reviewed")).distinct()
+    types = reviews.schema
+    rest = g.join(reviewed, F.col("g.app_id") == F.col("_reviewed"), "left_anti").select(
+        F.lit(None).cast(types["id"].dataType).alias("id"), F.col("g.app_id"),
+        *(F.lit(None).cast(types[c].dataType).alias(c) for c in ("content", "author_id", "is_positive")), *tail)
+    return met.unionByName(rest)
 
 
 def null_tokens_to_null(c: str, tokens=NULL_TOKENS) -> Column:

@@ -79,3 +79,45 @@ def test_shared_folder_is_required_off_local_masters():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_integrate_with_one_game_holding_most_reviews(spark):
+    """JN-1: the same rows as a right outer join, without one: the skewed side is that of an inner join, which AQE splits."""
+    from ludora.operators.clean import integrate
+    from ludora.sources.fixtures import GAMES_COLUMNS
+    reviews = spark.range(2000).select(
+        "id", F.when(F.col("id") % 10 > 0, F.lit(7)).otherwise(F.col("id") % 40).cast("long").alias("app_id"), F.lit("t").alias("content"),
+        (F.col("id") % 50).alias("author_id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("Positive")).alias("is_positive"))
+    reviews = reviews.unionByName(reviews.limit(3).withColumn("app_id", F.lit(None).cast("long")))
+    games = spark.range(60).select(F.when(F.col("id") == 59, F.lit(None)).otherwise(F.col("id")).alias("app_id"), *(F.lit(1).alias(c) for c in GAMES_COLUMNS[1:]))
+    games = games.unionByName(games.where("app_id in (7, 50)"))
+    got = integrate(reviews, games)
+    want = reviews.join(games, "app_id", "right").select(got.columns[0], games["app_id"], *got.columns[2:])
+    bag = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert bag(got) == bag(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "RightOuter" not in plan and "LeftAnti" in plan and "Inner" in plan
+
+
+def test_cbf_with_one_word_in_most_titles(spark):
+    """JN-11: a word of 90 % of the titles; the top-k equals brute force, and scoring has no join on terms."""
+    rng = np.random.default_rng(5)
+    games = [(k, ("game " if k % 10 else "") + " ".join(f"w{x}" for x in rng.integers(0, 12, 2))) for k in range(120)]
+    likes = sorted({(int(u), int(a)) for u, a in zip(rng.integers(0, 30, 150), rng.integers(0, 120, 150))})
+    items = spark.createDataFrame(games, "app_id long, title string")
+    train = spark.createDataFrame([(n, u, a, 1) for n, (u, a) in enumerate(likes)], "id long, author_id long, app_id long, is_positive_encoded int")
+    model = fit_cbf(train, items, stop_words=(), dedup_titles=False)
+    vec = {}
+    for r in model.vectors.collect():
+        vec.setdefault(r.title, {})[r.term] = r.weight
+    top = cbf_top_k(model, train.select("author_id").distinct(), rank_items(items), train, 6, normalize=False)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "term" not in plan.replace("determin", "")
+    got = {}
+    for r in top.orderBy("rank").collect():
+        got.setdefault(r.author_id, []).append(r.app_id)
+    title = dict(games)
+    for u in got:
+        mine = [a for x, a in likes if x == u]
+        score = {a: sum(vec[title[m]].get(t, 0) * w for m in mine for t, w in vec[t_].items()) for a, t_ in games if a not in mine}
+        assert got[u] == sorted(score, key=lambda a: (-round(score[a], 9), str(a)))[:6]
