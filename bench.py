@@ -29,8 +29,9 @@ HEADLINE = (
     "ag35_word_frequency",
     "ag42_nulls_three_tables",
     "ev10_cbf_summary",          # flagship: CBF over all unseen items, all test users
-    # EV-14/15/16 score every test user against every item: minutes at sf0.01, hours at sf0.1 on
-    # one machine, so they are checked (sf0.01) but not timed here
+    "ev14_summary_3_models",     # every test user x every unseen item, fits included
+    "ev15_summary_7_models",
+    "ev16_summary_6_models",
 )
 
 

@@ -117,3 +117,4 @@ from . import catalog_extra  # noqa: E402,F401
 from . import catalog_models  # noqa: E402,F401
 from . import catalog_tfidf  # noqa: E402,F401
 from . import catalog_checks  # noqa: E402,F401
+from . import catalog_forms  # noqa: E402,F401

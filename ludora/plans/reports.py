@@ -48,16 +48,20 @@ def profile(df: DataFrame, kind: str) -> dict[str, DataFrame]:
 def integration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PL-4: before/after numbers of the integration as text lines (SK-3)."""
     g, r, m = fixtures.games(spark, sf_dir), fixtures.reviews(spark, sf_dir), fixtures.merged(spark, sf_dir)
-    n_r = F.lit(r.count())
-    n_g = F.lit(g.count())
+    n_cols = {f"{n}_cols": F.lit(len(df.columns)) for n, df in (("games", g), ("review", r), ("merged", m))}
+    of = lambda c, v: F.count_if(F.col(c) == v)
     kept = F.count_if(F.col("id").isNotNull())
-    row = m.agg(F.count(F.lit(1)).alias("merged_rows"), F.lit(len(m.columns)).alias("merged_cols"),
-                n_g.alias("games_rows"), F.lit(len(g.columns)).alias("games_cols"),
-                n_r.alias("review_rows"), F.lit(len(r.columns)).alias("review_cols"),
-                kept.alias("kept"), F.count_if(F.col("id").isNull()).alias("no_review"),
-                (kept * 100.0 / n_r).alias("preserved_pct"),
+    # one aggregate per table; the three one-row results meet as literals
+    before = g.agg(F.count(F.lit(1)).alias("games_rows"), F.avg("positive_ratio").alias("g_ratio"), F.avg("user_reviews").alias("g_reviews")).first().asDict()
+    before |= r.agg(F.count(F.lit(1)).alias("review_rows"), of("is_positive", "Positive").alias("r_pos"), of("is_positive", "Negative").alias("r_neg"),
+                    F.count_if(F.col("content").isNull()).alias("r_null")).first().asDict()
+    row = m.agg(F.count(F.lit(1)).alias("merged_rows"), kept.alias("kept"), F.count_if(F.col("id").isNull()).alias("no_review"),
                 (F.count_if(F.col("id").isNull()) * 100.0 / F.count(F.lit(1))).alias("no_review_pct"),
-                F.count_distinct(F.when(F.col("id").isNotNull(), F.col("app_id"))).alias("games_with_reviews"))
+                F.count_distinct(F.when(F.col("id").isNotNull(), F.col("app_id"))).alias("games_with_reviews"),
+                F.avg("positive_ratio").alias("m_ratio"), F.avg("user_reviews").alias("m_reviews"),
+                of("is_positive", "Positive").alias("m_pos"), of("is_positive", "Negative").alias("m_neg"),
+                F.count_if(F.col("id").isNotNull() & F.col("content").isNull()).alias("m_null"))
+    row = row.withColumns({c: F.lit(v) for c, v in before.items()} | n_cols).withColumn("preserved_pct", F.col("kept") * 100.0 / F.col("review_rows"))
     template = [
         ("games: %d rows x %d cols", ["games_rows", "games_cols"]),
         ("reviews: %d rows x %d cols", ["review_rows", "review_cols"]),
@@ -66,5 +70,9 @@ def integration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("review rows after join: %d", ["kept"]),
         ("merged rows without review: %d (%.2f%%)", ["no_review", "no_review_pct"]),
         ("review preservation: %.2f%%", ["preserved_pct"]),
+        ("mean positive ratio: %.6f in games, %.6f merged", ["g_ratio", "m_ratio"]),
+        ("mean user reviews: %.6f in games, %.6f merged", ["g_reviews", "m_reviews"]),
+        ("positive / negative: %d / %d in reviews, %d / %d merged", ["r_pos", "r_neg", "m_pos", "m_neg"]),
+        ("reviews without text: %d in reviews, %d merged", ["r_null", "m_null"]),
     ]
     return report_lines(row, template)
