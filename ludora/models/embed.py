@@ -1,8 +1,8 @@
 """Title-embedding recommender (TF-7, RC-8).
 
 TF-IDF over unigrams + bigrams (5000 features, default tokens) of every
-item's title, truncated SVD through `IndexedRowMatrix.computeSVD` (Spark
-MLlib; distributed Gram / ARPACK), item embedding = U * S = X * V.  A user
+item's title, truncated SVD by distributed subspace iteration (`svd.py`),
+item embedding = U * S = X * V.  A user
 is the mean of the embeddings of its distinct liked items; the score is
 the cosine with a +1e-8 denominator, as FN-10.
 """
@@ -11,16 +11,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.mllib.linalg import Vectors as MLlibVectors
-from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import with_bigrams, word_tokens
 from ..functions.vectors import cosine
 from ..operators.split import dense_index
 from ..operators.tfidf import tfidf
+from ..session import written
+from .svd import truncated_svd
 
 
 @dataclass
@@ -48,28 +47,16 @@ class EmbedModel:
 
 def fit_embed(train: DataFrame, items: DataFrame, n_components: int = 30,
               max_features: int | None = None, seed: int = 42) -> EmbedModel:
-    spark = train.sparkSession
     it = items.select("app_id", F.coalesce(F.col("title"), F.lit("")).alias("title")).distinct()
     docs = it.groupBy("title").agg(F.count(F.lit(1)).alias("mult"))
     vec = tfidf(docs, "title", with_bigrams(word_tokens("title")), max_features=max_features, mult="mult")
     terms = dense_index(vec, "term", index_col="t")
     titles = dense_index(docs, "title", index_col="row")
     n_feat = terms.select(F.count(F.lit(1))).first()[0]
-    entries = (vec.join(terms, "term").join(titles, "title")
-               .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("t", "weight"))).alias("nz")))
     k = max(1, min(n_components, n_feat - 1))
-    rows = entries.rdd.map(lambda r: IndexedRow(r["row"], MLlibVectors.sparse(
-        n_feat, [e["t"] for e in r["nz"]], [e["weight"] for e in r["nz"]])))
-    rows = rows.persist()  # the SVD makes several passes over the rows
-    svd = IndexedRowMatrix(rows, numCols=n_feat).computeSVD(k, computeU=True)
-    s = [float(x) for x in svd.s.toArray()]
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("emb", T.ArrayType(T.DoubleType()))])
-    u = spark.createDataFrame(svd.U.rows.map(lambda r: (int(r.index), [float(a) * b for a, b in zip(r.vector.toArray(), s)])), schema)
-    emb_rows = u.join(titles, "row").select("title", "emb")
+    rows, s = truncated_svd(vec.join(terms, "term").join(titles, "title"), k, seed)
+    emb_rows = rows.withColumnRenamed("m", "emb").join(titles, "row").select("title", "emb")
     zero = F.array_repeat(F.lit(0.0), len(s))
-    item_emb = it.join(emb_rows, "title", "left").select("app_id", F.coalesce("emb", zero).alias("emb"))
-    item_emb = item_emb.persist()
-    item_emb.count()
-    rows.unpersist()
+    item_emb = written(it.join(emb_rows, "title", "left").select("app_id", F.coalesce("emb", zero).alias("emb")), "title-embeddings")
     likes = train.where(F.col("is_positive_encoded") == 1).select("author_id", "app_id").distinct()
     return EmbedModel(item_emb, likes)
