@@ -14,9 +14,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +23,10 @@ from ..functions.text import clean_text, whitespace_tokens
 from ..functions.vectors import l2_norm
 from ..operators.split import dense_index
 from ..session import written
+from .kmeans import kmeans, nearest
+
+#: Titles of a part that Word2Vec trains on its own.
+PART_TITLES = 5000
 
 
 @dataclass
@@ -36,19 +39,14 @@ def fit_w2v(ratings: DataFrame, items: DataFrame, dim: int = 30, window: int = 3
             n_clusters: int = 5, n_init: int = 10, seed: int = 42) -> W2VModel:
     rated = items.join(ratings.select("app_id").distinct(), "app_id", "left_semi")
     docs = rated.select("app_id", "title", whitespace_tokens(clean_text("title")).alias("tokens"))
-    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed,
-                   inputCol="tokens", outputCol="vec").fit(docs)
-    vecs = w2v.transform(docs).withColumn("v", vector_to_array("vec"))
-    n = vecs.select(F.count(F.lit(1))).first()[0]
-    k = max(1, min(n_clusters, n))
-    feats = vecs.withColumn("features", array_to_vector("v"))
-    best = None
-    for i in range(n_init):   # several seeded k-means|| starts, keep the lowest cost
-        km = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(feats)
-        cost = km.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, km)
-    clustered = best[1].transform(feats)
+    n = docs.count()
+    # parts train apart and are averaged after each iteration; titles are many before there is more than one
+    parts = max(1, -(-n // PART_TITLES))
+    w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, numPartitions=parts,
+                   inputCol="tokens", outputCol="vec").fit(docs.repartition(parts, "app_id"))
+    vecs = written(w2v.transform(docs).select("app_id", "title", vector_to_array("vec").alias("v")), "w2v-titles")
+    centres, _ = kmeans(vecs, max(1, min(n_clusters, n)), n_init, seed)
+    clustered = nearest(vecs, centres)
     norm = l2_norm(F.col("v"))
     unit = F.when(norm > 0, F.transform("v", lambda x: x / norm)).otherwise(F.transform("v", lambda x: x * 0.0))
     out = clustered.select("app_id", "title", unit.alias("unit"), F.col("cluster").cast("int"))
