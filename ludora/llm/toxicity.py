@@ -1,12 +1,12 @@
 """Operator 9: toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased words and their 4- to 6-letter beginnings (inflected and
-compounded words share them).  The vocabulary is chosen on the labelled sample:
-terms whose chi-square with the label is at least CHI_SQUARE.  Document
-frequencies are counted over all documents.  A block-max inverted index holds the
-examples: per term its postings by example, and per term and block of
-examples the largest weight.  A search visits blocks by falling upper bound and stops
-when no block can reach the k-th best similarity, so the neighbours are exact.
+Terms are all lower-cased words of the labelled examples; none is left out.  A term's
+weight in a text is (1 + ln n) * idf * relevance: document frequencies are counted over all
+documents, and the relevance, RELEVANCE_FLOOR and more, grows with the term's
+chi-square with the label among the examples.  A block-max inverted index holds the
+examples: postings by example, and per frequent term and block of
+examples the largest weight.  A search skips each block whose upper bound cannot reach
+the k-th best similarity, so the neighbours are exact.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from functools import reduce
+from functools import cached_property, reduce
 from zlib import crc32
 
 import numpy as np
@@ -24,127 +24,161 @@ from pyspark.sql import functions as F
 
 from ludora.llm.common import crc_fold, materialise, text_of
 
-#: Bounds of the fit: labelled rows of each class, and terms.
-SAMPLE_ROWS, TERMS, CHI_SQUARE = 2000, 4096, 30.0
+#: Bound of the fit: labelled rows of each class.
+SAMPLE_ROWS = 2000
+#: Relevance of a term without any relation to the label, and the chi-square from which it stops growing.
+RELEVANCE_FLOOR, CHI_SQUARE = 0.02, 30.0
 NEIGHBOURS, BLOCK = 15, 64
+#: Texts searched at once, and the steps in which similarities are compared.
+TEXTS, STEPS = 256, 1_000_000
 #: Examples of the class prior, as much evidence as so many neighbours at similarity one.
 PRIOR = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _terms(word: str):
-    return (word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k))
-
-
 def term_counts(text: str) -> Counter:
     """Occurrences of each term."""
-    out: Counter = Counter()
-    for word, n in Counter(_WORD.findall(text.lower())).items():
-        for term in _terms(word):
-            out[term] += n
-    return out
-
-
-class Vocabulary:
-    """Chosen terms by number; most words are passed over by their first letters."""
-
-    def __init__(self, terms: list[str]):
-        self.number = {t: k for k, t in enumerate(terms)}
-        self.starts = {t.removesuffix("*")[:4] for t in terms}
-
-    def counts(self, text: str) -> Counter:
-        """Occurrences of the chosen terms, by number."""
-        out: Counter = Counter()
-        starts, number = self.starts, self.number
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            if word[:4] in starts:
-                for term in _terms(word):
-                    if term in number:
-                        out[number[term]] += n
-        return out
+    return Counter(_WORD.findall(text.lower()))
 
 
 class BlockMaxIndex:
-    """Unit vectors of the examples as postings per term, with each block's largest weight."""
-
-    def __init__(self, vectors: list[dict[int, float]], terms: int):
-        self.n = len(vectors)
-        blocks = -(-max(1, self.n) // BLOCK)
-        self.most = np.zeros((terms, blocks))
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for i, vector in enumerate(vectors):
-            for t, w in vector.items():
-                lists[t].append((i, w))
-                self.most[t, i // BLOCK] = max(self.most[t, i // BLOCK], w)
-        self.ids = [np.array([i for i, _ in x], dtype=np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.starts = [np.searchsorted(ids, np.arange(blocks + 1) * BLOCK) for ids in self.ids]
-
-    def nearest(self, vector: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The k most similar examples with a positive cosine, best first, ties by place."""
-        terms = list(vector)
-        weights = np.array([vector[t] for t in terms])
-        bound = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1][0] - 1e-12:
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in vector.items():
-                a, b = self.starts[t][block], self.starts[t][block + 1]
-                cosine[self.ids[t][a:b] - block * BLOCK] += w * self.weights[t][a:b]
-            found = np.flatnonzero(cosine > 0)
-            best = sorted([*best, *zip(np.round(cosine[found], 12).tolist(), (found + block * BLOCK).tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+    """Unit vectors of the examples as postings, with each block's largest weight.
+
+    `starts`, `examples`, `weights`: the postings of term t are those from starts[t] to starts[t + 1].
+    Terms of more than BLOCK examples are frequent: their postings are kept by block, and
+    only blocks whose bound is high enough read them.  Others have at most BLOCK postings, read at once.
+    """
+
+    def __init__(self, n: int, starts: np.ndarray, examples: np.ndarray, weights: np.ndarray):
+        self.n, self.blocks = n, -(-max(1, n) // BLOCK)
+        self.starts, self.examples, self.weights = starts, examples, weights
+        frequent = np.flatnonzero(np.diff(starts) > BLOCK)
+        self.place = np.full(len(starts) - 1, -1)
+        self.place[frequent] = np.arange(len(frequent))
+
+    @classmethod
+    def of(cls, vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
+        rows = np.array([(t, i, w) for i, v in enumerate(vectors) for t, w in v.items()], dtype=np.float64).reshape(-1, 3)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        starts = np.searchsorted(rows[:, 0], np.arange(terms + 1))
+        return cls(len(vectors), starts, rows[:, 1].astype(np.int32), rows[:, 2])
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("by_block", "most")}
+
+    @cached_property
+    def by_block(self) -> np.ndarray:
+        """Weights of the frequent terms: (block, term, example of the block)."""
+        out = np.zeros((self.blocks, int(self.place.max(initial=-1)) + 1, BLOCK), np.float32)
+        term = np.repeat(self.place, np.diff(self.starts))
+        kept = term >= 0
+        out[self.examples[kept] // BLOCK, term[kept], self.examples[kept] % BLOCK] = self.weights[kept]
+        return out
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        """Largest weight of each frequent term in each block."""
+        return self.by_block.max(axis=2).T.copy()
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Similarities and places of the k most similar examples of each vector (terms, weights); by falling cosine, ties by place.
+
+        Only positive cosines are neighbours; similarity 0 and place -1 fill up the rest.
+        """
+        m, width = len(vectors), self.blocks * BLOCK
+        owner = np.repeat(np.arange(m), [len(t) for t, _ in vectors])
+        terms = np.concatenate([t for t, _ in vectors]) if m else np.zeros(0, np.int64)
+        weights = np.concatenate([w for _, w in vectors]) if m else np.zeros(0)
+        rare = self.place[terms] < 0
+        query = np.zeros((m, self.most.shape[0]), np.float32)
+        query[owner[~rare], self.place[terms[~rare]]] = weights[~rare]
+        # postings of rare terms, one after the other
+        begin, size = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
+        at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cell = np.repeat(owner[rare], size) * width + self.examples[at]
+        known = np.bincount(cell, np.repeat(weights[rare], size) * self.weights[at], m * width).reshape(m, self.blocks, BLOCK)
+        bound = query @ self.most + known.max(axis=2)
+        # a neighbour is one number: similarity in steps, then falling place
+        best = np.zeros((m, k), np.int64)
+
+        def visit(rows: np.ndarray, block: int) -> None:
+            cosine = query[rows] @ self.by_block[block] + known[rows, block]
+            steps = np.rint(cosine * STEPS).astype(np.int64)
+            found = np.where(steps > 0, steps * width + (width - 1 - block * BLOCK - np.arange(BLOCK)), 0)
+            best[rows] = -np.sort(-np.concatenate([best[rows], found], axis=1), axis=1)[:, :k]
+
+        first = bound.argmax(axis=1)
+        for block in np.unique(first).tolist():
+            visit(np.flatnonzero(first == block), block)
+        slack = 2 / STEPS
+        for block in np.argsort(-bound.sum(axis=0), kind="stable").tolist():
+            rows = np.flatnonzero((first != block) & (bound[:, block] + slack >= best[:, k - 1] // width / STEPS) & (bound[:, block] > 0))
+            if len(rows):
+                visit(rows, block)
+        return best // width / STEPS, np.where(best > 0, width - 1 - best % width, -1)
 
 
 class ToxicityModel:
-    """Vocabulary, document frequencies and index of the labelled examples."""
-
-    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, ids: list[int], labels: list[int], weights: dict[int, float], counts: list[Counter]):
-        self.vocabulary, self.idf, self.ids, self.labels, self.weights = vocabulary, idf, ids, labels, weights
-        vectors = [self.vector(c) for c in counts]
-        self.index = BlockMaxIndex(vectors, len(vocabulary.number))
-        total = sum(weights[y] for y in labels)
-        self.prior = sum(weights[y] * y for y in labels) / total if total else 0.5
-        # without any term of the vocabulary, a text is as near to all examples without one
-        bare = [y for y, v in zip(labels, vectors, strict=True) if not v]
-        mass = sum(weights[y] for y in bare)
-        self.bare = (sum(weights[y] * y for y in bare) + self.prior) / (mass + 1)
-        self.known: dict = {}
-
-    def vector(self, counts: Counter) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / norm for t, w in raw.items()} if norm else {}
-
-    def judge(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
-        """Calibrated score and evidence: (doc_id, similarity, label) of the neighbours."""
-        counts = self.vocabulary.counts(text)
-        if not counts:
-            return self.bare, []
-        key = tuple(sorted(counts.items()))
-        if key not in self.known:
-            if len(self.known) > 50_000:
-                self.known.clear()
-            near = self.index.nearest(self.vector(counts), NEIGHBOURS)
-            # distance-weighted votes, each class at its share among all labelled rows
-            votes = [(s * s / (1.05 - s) * self.weights[self.labels[i]], self.labels[i]) for s, i in near]
-            mass = PRIOR * sum(self.weights.values()) / max(1, len(self.weights))
-            score = (sum(v * y for v, y in votes) + mass * self.prior) / (sum(v for v, _ in votes) + mass)
-            self.known[key] = float(score), [(self.ids[i], float(s), self.labels[i]) for s, i in near]
-        return self.known[key]
-
-
-def _frequencies(vocabulary: Vocabulary):
+    """Terms, weights and index of the labelled examples; sent to the tasks by broadcast, a size that the sample bounds."""
+
+    def __init__(self, terms: list[str], weight: np.ndarray, ids: list[int], labels: list[int], class_weights: dict[int, float], counts: list[tuple[np.ndarray, np.ndarray]]):
+        self.terms, self.weight, self.class_weights = terms, weight, class_weights
+        vectors = [self.vector(t, n) for t, n in counts]
+        # examples of the same most telling term share blocks, so that whole blocks can be skipped
+        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else -1, ids[i], i))
+        self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
+        self.index = BlockMaxIndex.of([dict(zip(*(x.tolist() for x in vectors[i]), strict=True)) for i in order], len(terms))
+        total = sum(class_weights[y] for y in labels)
+        self.prior = sum(class_weights[y] * y for y in labels) / total if total else 0.5
+        # a text without any known term is as near to all examples without one
+        bare = [y for y, (t, _) in zip(labels, counts, strict=True) if not len(t)]
+        mass = sum(class_weights[y] for y in bare)
+        self.bare = (sum(class_weights[y] * y for y in bare) + self.prior) / (mass + 1)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "number"}
+
+    @cached_property
+    def number(self) -> dict[str, int]:
+        return {t: k for k, t in enumerate(self.terms)}
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and unit TF-IDF weights of a text."""
+        raw = (1 + np.log(counts)) * self.weight[terms]
+        return terms, raw / math.sqrt((raw * raw).sum() or 1.0)
+
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated score, similarities and places of the neighbours of each text."""
+        vectors = [self.vector(*_numbered(self.number, text)) for text in texts]
+        if not len(self.ids):
+            return np.full(len(texts), self.bare), np.zeros((len(texts), NEIGHBOURS)), np.full((len(texts), NEIGHBOURS), -1)
+        similarity, place = self.index.nearest(vectors, NEIGHBOURS)
+        # distance-weighted votes, each class at its share among all labelled rows
+        label = self.labels[place]
+        by_class = np.array([self.class_weights.get(y, 0.0) for y in (0, 1)])
+        votes = np.where(place >= 0, similarity**2 / (1.05 - similarity) * by_class[label], 0)
+        mass = PRIOR * sum(self.class_weights.values()) / max(1, len(self.class_weights))
+        score = ((votes * label).sum(axis=1) + mass * self.prior) / (votes.sum(axis=1) + mass)
+        return np.where([len(t) > 0 for t, _ in vectors], score, self.bare), similarity, place
+
+
+def _numbered(number: dict[str, int], text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Known terms of a text by falling number of their first occurrence, and their counts."""
+    found = [(number[t], n) for t, n in term_counts(text).items() if t in number]
+    return np.array([t for t, _ in found], np.int64), np.array([n for _, n in found], np.float64)
+
+
+def _frequencies(terms):
+    """Documents of each known term and, as term -1, all documents."""
+
     def count(batches):
-        total, n = np.zeros(len(vocabulary.number), np.int64), 0
+        number = {t: k for k, t in enumerate(terms.value)}
+        total, n = np.zeros(len(number), np.int64), 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 n += 1
-                for t in vocabulary.counts(text):
-                    total[t] += 1
+                total[[number[t] for t in set(_WORD.findall(text.lower())) if t in number]] += 1
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"term": pa.array([-1, *seen.tolist()], pa.int64()), "n": pa.array([n, *total[seen].tolist()], pa.int64())})
 
@@ -159,24 +193,36 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     chosen = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for y in sorted(shares)]
     ids = reduce(DataFrame.unionByName, chosen) if chosen else known
     examples = materialise(rows.join(F.broadcast(ids), "doc_id"), "examples")
+    got = examples.mapInArrow(_example_terms, "doc_id long, label int, kin long, terms array<string>, counts array<long>").toArrow()
+    got = sorted(got.to_pylist(), key=lambda r: (r["doc_id"], r["label"], r["kin"], sorted(zip(r["terms"], r["counts"], strict=True))))
     # near copies count once, or each word of a much copied text would look telling
-    terms = examples.mapInArrow(_example_terms, "label int, kin long, term string")
-    kin = {r.label: r.n for r in terms.groupBy("label").agg(F.countDistinct("kin").alias("n")).collect()}
-    n0, n1 = kin.get(0, 0), kin.get(1, 0)
-    tally = terms.groupBy("term", "label").agg(F.countDistinct("kin").alias("n")).groupBy("term").agg(*(F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).cast("double").alias(f"n{y}") for y in (0, 1)))
-    share = (F.col("n0") + F.col("n1")) / (n0 + n1 or 1)
-    tally = tally.withColumn("share", share).where("n0 + n1 > 2 and share < 1") if n0 and n1 else tally.withColumn("share", share).limit(0)
-    chi_square = F.pow(F.col("n1") / max(1, n1) - F.col("n0") / max(1, n0), 2) / (F.col("share") * (1 - F.col("share")) * (1 / max(1, n1) + 1 / max(1, n0)))
-    best = tally.select("term", chi_square.alias("z")).where(F.col("z") >= CHI_SQUARE).orderBy(F.desc("z"), "term").limit(TERMS).collect()
-    vocabulary = Vocabulary([r.term for r in best])
-    counted = examples.mapInArrow(_example_counts(vocabulary), "doc_id long, label int, terms array<long>, counts array<long>").collect()
-    got = sorted(((r.doc_id, r.label, Counter(dict(zip(r.terms, r.counts, strict=True)))) for r in counted), key=lambda x: (x[0], x[1], sorted(x[2].items())))
-    labels_of = [y for _, y, _ in got]
+    kin, tally = [len({r["kin"] for r in got if r["label"] == y}) for y in (0, 1)], {}
+    for y in (0, 1):
+        for term, _ in {(t, r["kin"]) for r in got if r["label"] == y for t in r["terms"]}:
+            tally.setdefault(term, [0, 0])[y] += 1
+    terms = sorted(tally)
+    relevance = _relevance(np.array([tally[t] for t in terms], np.float64).reshape(-1, 2), kin)
+    frequency = np.zeros(len(terms) + 1)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    counted = rows.select("text").mapInArrow(_frequencies(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()  # the last one, at -1, is the number of documents
+    shared.unpersist()
+    idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
+    number = {t: k for k, t in enumerate(terms)}
+    labels_of = [r["label"] for r in got]
     weights = {y: n / max(1, labels_of.count(y)) for y, n in shares.items()}
-    frequency = {r.term: r.n for r in rows.select("text").mapInArrow(_frequencies(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    total = frequency.get(-1, 0)
-    idf = np.array([math.log((1 + total) / (1 + frequency.get(k, 0))) + 1 for k in range(len(vocabulary.number))])
-    return ToxicityModel(vocabulary, idf, [i for i, _, _ in got], labels_of, weights, [c for _, _, c in got])
+    counts = [(np.array([number[t] for t in r["terms"]], np.int64), np.array(r["counts"], np.float64)) for r in got]
+    return ToxicityModel(terms, idf * relevance, [r["doc_id"] for r in got], labels_of, weights, counts)
+
+
+def _relevance(tally: np.ndarray, kin: list[int]) -> np.ndarray:
+    """RELEVANCE_FLOOR and, of terms in more than two examples, the chi-square with the label as a share of CHI_SQUARE, one at most."""
+    n0, n1 = (max(1, n) for n in kin)
+    share = tally.sum(axis=1) / max(1, sum(kin))
+    spread = np.maximum(share * (1 - share), 1e-9) * (1 / n0 + 1 / n1)
+    chi_square = (tally[:, 1] / n1 - tally[:, 0] / n0) ** 2 / spread
+    telling = (tally.sum(axis=1) > 2) & (share < 1) & (min(kin) > 0)
+    return RELEVANCE_FLOOR + np.where(telling, np.minimum(1, chi_square / CHI_SQUARE), 0)
 
 
 def _kin(text: str) -> int:
@@ -186,20 +232,13 @@ def _kin(text: str) -> int:
 
 
 def _example_terms(batches):
-    """The terms of each example, with its label and kin."""
+    """The terms of each example with their counts, its label and kin."""
     for batch in batches:
-        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            terms = list(term_counts(text))
-            yield pa.RecordBatch.from_pydict({"label": pa.array([label] * len(terms), pa.int32()), "kin": pa.array([_kin(text)] * len(terms), pa.int64()), "term": pa.array(terms, pa.string())})
-
-
-def _example_counts(vocabulary: Vocabulary):
-    def count(batches):
-        for batch in batches:
-            counts = [vocabulary.counts(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "label": batch.column("label").cast(pa.int32()), "terms": pa.array([list(c) for c in counts], pa.list_(pa.int64())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
-
-    return count
+        texts = batch.column("text").to_pylist()
+        counts = [term_counts(t) for t in texts]
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": batch.column("doc_id"), "label": batch.column("label").cast(pa.int32()), "kin": pa.array([_kin(t) for t in texts], pa.int64()),
+            "terms": pa.array([list(c) for c in counts], pa.list_(pa.string())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int64())]))
@@ -208,16 +247,22 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float6
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, folds: int = 3, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence of every row, from its whole text.
 
-    Null text counts as empty; a text without any term of the vocabulary scores
+    Null text counts as empty; a text without any term of the examples scores
     the smoothed share of toxic rows among the examples without one, and has no evidence.  A
     null id is in fold 0.  Repeated rows get a row each.  Other columns are ignored.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        model = shared.value
         for batch in batches:
-            judged = [model.judge(t) for t in batch.column("text").to_pylist()]
-            evidence = [[{"doc_id": i, "similarity": s, "label": y} for i, s, y in e] for _, e in judged]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array([s for s, _ in judged], pa.float64()), "evidence": pa.array(evidence, _EVIDENCE)})
+            for a in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(a, TEXTS)
+                score, similarity, place = model.judge(part.column("text").to_pylist())
+                found = place >= 0
+                offsets = pa.array(np.concatenate([[0], np.cumsum(found.sum(axis=1))]), pa.int32())
+                near = pa.StructArray.from_arrays([pa.array(x) for x in (model.ids[place[found]], similarity[found], model.labels[place[found]])], fields=list(_EVIDENCE.value_type))
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "score": pa.array(score, pa.float64()), "evidence": pa.ListArray.from_arrays(offsets, near)})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     scored = rows.mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,label:long>>")
@@ -226,10 +271,13 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, folds: int = 3, held_
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
     """Rows of `docs`, with all their columns, whose score is below `threshold`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([model.judge(t or "")[0] < threshold for t in texts], pa.bool_()))
+            for a in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(a, TEXTS)
+                score, _, _ = shared.value.judge([t or "" for t in part.column("text").to_pylist()])
+                yield part.filter(pa.array(score < threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
