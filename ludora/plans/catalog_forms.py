@@ -150,3 +150,21 @@ def q_rc21(s, sf):
     t = stages(s, sf).interactions.where(F.col("title").isNotNull()).select("author_id", "title").distinct()
     lists = t.groupBy("author_id").agg(F.sort_array(F.collect_list("title")).alias("titles"))
     return lists.select("author_id", F.size("titles").cast("long").alias("n_titles"), F.array_join("titles", ",").alias("titles"))
+
+
+@register("sk2_held_out_with_history", with_(["train", "test"], """SELECT t.author_id, t.app_id, coalesce(n.n_train, 0) AS n_train,
+ coalesce(n.n_train_positive, 0) AS n_train_positive, coalesce(t.is_positive_encoded, 0) = 1 AS held_out_positive
+ FROM test t LEFT JOIN (SELECT author_id, count(*) AS n_train, count_if(is_positive_encoded = 1) AS n_train_positive
+ FROM train GROUP BY author_id) n ON n.author_id = t.author_id"""))
+def q_sk2(s, sf):
+    """SK-2: the held-out row of each user beside the user's history, read from the bucketed split without an exchange."""
+    return held_out_with_history(**stages(s, sf).split)
+
+
+def held_out_with_history(train_split, test_split, test_positive):
+    """A row per test row; a user has one (WN-1), so the author alone finds its positive: all joins follow the buckets."""
+    history = train_split.groupBy("author_id").agg(F.count(F.lit(1)).alias("n_train"), F.count_if(F.col("is_positive_encoded") == 1).alias("n_train_positive"))
+    positive = test_positive.select("author_id", F.col("app_id").alias("positive_app"))
+    return (test_split.select("author_id", "app_id").join(history, "author_id", "left").join(positive, "author_id", "left")
+            .select("author_id", "app_id", F.coalesce("n_train", F.lit(0)).alias("n_train"), F.coalesce("n_train_positive", F.lit(0)).alias("n_train_positive"),
+                    F.coalesce(F.col("positive_app") == F.col("app_id"), F.lit(False)).alias("held_out_positive")))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators.candidates import rank_items
 from ..operators.split import flag_holdout
 from ..session import checkpoint_dir
+from ..sources.sinks import write_split
 from . import base
 
 _CACHE: dict = {}
@@ -52,6 +53,12 @@ class Stages:
     def test(self) -> DataFrame:
         return self.flagged.where(F.col("is_test")).drop("is_test")
 
+    @cached_property
+    def split(self) -> dict[str, DataFrame]:
+        """SK-2: train_split, test_split and test_positive as tables with a bucket per shuffle partition."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return write_split(self.train, self.test, os.path.join(self.root, "split"), buckets)
+
     @property
     def items(self) -> DataFrame:
         """(app_id, title) of every reviewed item (the evaluation universe)."""
