@@ -19,6 +19,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,11 +59,10 @@ class BlockMaxIndex:
         self.place[frequent] = np.arange(len(frequent))
 
     @classmethod
-    def of(cls, vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
-        rows = np.array([(t, i, w) for i, v in enumerate(vectors) for t, w in v.items()], dtype=np.float64).reshape(-1, 3)
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        starts = np.searchsorted(rows[:, 0], np.arange(terms + 1))
-        return cls(len(vectors), starts, rows[:, 1].astype(np.int32), rows[:, 2])
+    def of(cls, n: int, terms: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+        """Of `n` examples and `terms` terms, from an example, a term and a weight per posting."""
+        order = np.lexsort((example, term))
+        return cls(n, np.searchsorted(term[order], np.arange(terms + 1)), example[order].astype(np.int32), weight[order])
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("by_block", "most")}
@@ -122,19 +122,26 @@ class BlockMaxIndex:
 class ToxicityModel:
     """Terms, weights and index of the labelled examples; sent to the tasks by broadcast, a size that the sample bounds."""
 
-    def __init__(self, terms: list[str], weight: np.ndarray, ids: list[int], labels: list[int], class_weights: dict[int, float], counts: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, terms: list[str], weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, class_weights: dict[int, float], example: np.ndarray, term: np.ndarray, count: np.ndarray):
+        """`example`, `term`, `count`: the terms of the examples, by example."""
         self.terms, self.weight, self.class_weights = terms, weight, class_weights
-        vectors = [self.vector(t, n) for t, n in counts]
+        n = len(ids)
+        raw = (1 + np.log(count)) * weight[term]
+        raw /= np.sqrt(np.bincount(example, raw * raw, n))[example]
         # examples of the same most telling term share blocks, so that whole blocks can be skipped
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else -1, ids[i], i))
-        self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
-        self.index = BlockMaxIndex.of([dict(zip(*(x.tolist() for x in vectors[i]), strict=True)) for i in order], len(terms))
-        total = sum(class_weights[y] for y in labels)
-        self.prior = sum(class_weights[y] * y for y in labels) / total if total else 0.5
+        telling = np.full(n, -1)
+        rising = np.lexsort((term, raw, example))
+        telling[example[rising]] = term[rising]  # the last one, of the largest weight, stays
+        order = np.lexsort((np.arange(n), ids, telling))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.ids, self.labels = ids[order], labels[order]
+        self.index = BlockMaxIndex.of(n, len(terms), place[example], term, raw)
+        mass_of = np.array([class_weights.get(y, 0.0) for y in (0, 1)])[labels]
+        self.prior = float((mass_of * labels).sum() / mass_of.sum()) if n else 0.5
         # a text without any known term is as near to all examples without one
-        bare = [y for y, (t, _) in zip(labels, counts, strict=True) if not len(t)]
-        mass = sum(class_weights[y] for y in bare)
-        self.bare = (sum(class_weights[y] * y for y in bare) + self.prior) / (mass + 1)
+        bare = telling < 0
+        self.bare = float(((mass_of * labels)[bare].sum() + self.prior) / (mass_of[bare].sum() + 1))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "number"}
@@ -164,7 +171,7 @@ class ToxicityModel:
 
 
 def _numbered(number: dict[str, int], text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Known terms of a text by falling number of their first occurrence, and their counts."""
+    """Known terms of a text, by number, and their counts."""
     found = [(number[t], n) for t, n in term_counts(text).items() if t in number]
     return np.array([t for t, _ in found], np.int64), np.array([n for _, n in found], np.float64)
 
@@ -193,26 +200,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: i
     chosen = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for y in sorted(shares)]
     ids = reduce(DataFrame.unionByName, chosen) if chosen else known
     examples = materialise(rows.join(F.broadcast(ids), "doc_id"), "examples")
-    got = examples.mapInArrow(_example_terms, "doc_id long, label int, kin long, terms array<string>, counts array<long>").toArrow()
-    got = sorted(got.to_pylist(), key=lambda r: (r["doc_id"], r["label"], r["kin"], sorted(zip(r["terms"], r["counts"], strict=True))))
+    got = examples.mapInArrow(_example_terms, "doc_id long, label int, kin long, content long, terms array<string>, counts array<long>").toArrow().combine_chunks()
+    got = got.sort_by([(c, "ascending") for c in ("doc_id", "label", "kin", "content")])
+    ids_of, labels_of = got["doc_id"].to_numpy(), got["label"].to_numpy().astype(np.int64)
+    example = np.repeat(np.arange(len(ids_of)), pc.list_value_length(got["terms"]).to_numpy())
+    count = pc.list_flatten(got["counts"]).to_numpy().astype(np.float64)
+    words = pc.list_flatten(got["terms"])
+    terms = sorted(words.unique().to_pylist())
+    term = pc.index_in(words, pa.array(terms, pa.string())).to_numpy().astype(np.int64)
     # near copies count once, or each word of a much copied text would look telling
-    kin, tally = [len({r["kin"] for r in got if r["label"] == y}) for y in (0, 1)], {}
-    for y in (0, 1):
-        for term, _ in {(t, r["kin"]) for r in got if r["label"] == y for t in r["terms"]}:
-            tally.setdefault(term, [0, 0])[y] += 1
-    terms = sorted(tally)
-    relevance = _relevance(np.array([tally[t] for t in terms], np.float64).reshape(-1, 2), kin)
+    _, kin = np.unique(got["kin"].to_numpy(), return_inverse=True)
+    family = kin * 2 + labels_of
+    pairs = np.unique(family[example] * max(1, len(terms)) + term)
+    tally = np.stack([np.bincount(pairs[pairs // max(1, len(terms)) % 2 == y] % max(1, len(terms)), minlength=len(terms)) for y in (0, 1)], axis=1)
+    relevance = _relevance(tally.astype(np.float64), [int((np.unique(family) % 2 == y).sum()) for y in (0, 1)])
+    del got, words, pairs
     frequency = np.zeros(len(terms) + 1)
     shared = docs.sparkSession.sparkContext.broadcast(terms)
     counted = rows.select("text").mapInArrow(_frequencies(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()  # the last one, at -1, is the number of documents
     shared.unpersist()
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-    number = {t: k for k, t in enumerate(terms)}
-    labels_of = [r["label"] for r in got]
-    weights = {y: n / max(1, labels_of.count(y)) for y, n in shares.items()}
-    counts = [(np.array([number[t] for t in r["terms"]], np.int64), np.array(r["counts"], np.float64)) for r in got]
-    return ToxicityModel(terms, idf * relevance, [r["doc_id"] for r in got], labels_of, weights, counts)
+    weights = {y: n / max(1, int((labels_of == y).sum())) for y, n in shares.items()}
+    return ToxicityModel(terms, idf * relevance, ids_of, labels_of, weights, example, term, count)
 
 
 def _relevance(tally: np.ndarray, kin: list[int]) -> np.ndarray:
@@ -232,12 +242,13 @@ def _kin(text: str) -> int:
 
 
 def _example_terms(batches):
-    """The terms of each example with their counts, its label and kin."""
+    """The terms of each example with their counts, its label, kin and a hash of its text."""
     for batch in batches:
         texts = batch.column("text").to_pylist()
         counts = [term_counts(t) for t in texts]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "label": batch.column("label").cast(pa.int32()), "kin": pa.array([_kin(t) for t in texts], pa.int64()),
+            "content": pa.array([crc32(t.encode()) for t in texts], pa.int64()),
             "terms": pa.array([list(c) for c in counts], pa.list_(pa.string())), "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))})
 
 

@@ -136,7 +136,8 @@ def test_block_max_search_is_exact(terms):
         n = sum(x * x for x in v.values()) ** 0.5
         vectors.append({t: x / n for t, x in v.items()})
     vectors += vectors[:40] + [{}]
-    index = BlockMaxIndex.of(vectors, terms)
+    postings = np.array([(i, t, w) for i, v in enumerate(vectors) for t, w in v.items()])
+    index = BlockMaxIndex.of(len(vectors), terms, postings[:, 0].astype(int), postings[:, 1].astype(int), postings[:, 2])
     queries = vectors[:50] + [{}]
     similarity, place = index.nearest([(np.array(list(q), np.int64), np.array(list(q.values()))) for q in queries], 15)
     for q, s, p in zip(queries, similarity, place, strict=True):
