@@ -17,8 +17,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     Returns one row per row of `docs`: doc_id, keep_id (smallest doc_id of the
     group), group_size, kept, digest (SHA-256 of the normalised text, binary).
 
-    Texts whose digest occurs once have no equal, so only the others travel.
-    They are combined three times, by digest and whole content each time: inside
+    Texts whose digest occurs once have no equal and are not compared; the merge
+    semi join that tells them apart shuffles each whole text once.  The others are combined three times, by digest and whole content each time: inside
     each task (Spark's partial aggregation), per salted digest, then the salt
     winners per digest.  A group of any size is a row per task at the first
     exchange and at most SALTS rows at the second.
