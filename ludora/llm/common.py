@@ -33,6 +33,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialise` that nothing reads any more: what was made of them must be written itself."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner drop the shuffle files of finished phases.
 
