@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ludora.operators import blocked
 from ludora.operators.blocked import Base, spread, top_items
@@ -83,3 +84,42 @@ def test_skipping_by_norm_is_exact(spark, monkeypatch):
     got = top_items(u, i, [Base("cf")], 3, seen=s).collect()
     assert {(r.u, r.i, r.rank, round(r.score, 9)) for r in got} == _best(dot, ok, 3)
     assert top_items(u, i.limit(0), [Base("cf")], 3).collect() == [] == top_items(u.limit(0), i, [Base("cf")], 3).collect()
+
+
+def test_of_equal_items_only_the_first_travel(spark, monkeypatch):
+    """Items without a vector score the same: a block gets as many of them as a user can need, and the results stay."""
+    monkeypatch.setattr(blocked, "BLOCK_USERS", 6)
+    u = spark.createDataFrame([(k, [0], [1.0]) for k in range(20)], "u long, cbf_t array<int>, cbf_w array<double>")
+    i = spark.createDataFrame([(k, [0] if k % 100 == 99 else None, [k / 1000] if k % 100 == 99 else None) for k in range(500)], "i long, cbf_t array<int>, cbf_w array<double>")
+    seen = [(0, k) for k in range(30)] + [(1, 1), (1, 499), (2, 99)]
+    s = spark.createDataFrame(seen, "u long, i long")
+    users = blocked._with_seen(u, s)
+    rows = blocked._dealt(users, i, [Base("cbf", "sparse")], None, 8).where("is_item").groupBy("block").count().collect()
+    assert max(r["count"] for r in rows) <= 5 + 8 + 30 and min(r["count"] for r in rows) == 5 + 8
+    score = np.array([[k / 1000 if k % 100 == 99 else 0.0 for k in range(500)]] * 20)
+    ok = np.ones(score.shape, bool)
+    for a, b in seen:
+        ok[a, b] = False
+    got = top_items(u, i, [Base("cbf", "sparse")], 8, seen=s).collect()
+    assert {(r.u, r.i, r.rank, round(r.score, 9)) for r in got} == _best(score, ok, 8)
+    assert {r.u: r.most for r in got}[1] == 0.399 and {r.least for r in got} == {0.0}
+
+
+def test_items_travel_once_per_core(spark):
+    """Up to 65,536 users a task: 20,000 users are no more blocks than the session has cores."""
+    u = spark.range(20000).select(F.col("id").alias("u"), F.array(F.lit(1.0)).alias("cf"))
+    i = spark.range(50).select(F.col("id").alias("i"), F.array(F.col("id").cast("double")).alias("cf"))
+    dealt = blocked._dealt(blocked._with_seen(u, None), i, [Base("cf")], Base("cf"), 3)
+    assert dealt.where("is_item").count() == 50 * min(4, spark.sparkContext.defaultParallelism)
+
+
+def test_own_parts_bound_a_score(spark, monkeypatch):
+    """Scores with own parts of users and items: skipping by the bound finds the same items, a user without a vector too."""
+    monkeypatch.setattr(blocked, "TILE_ITEMS", 8)
+    rng = np.random.default_rng(5)
+    users = [(k, None if k == 3 else [*map(float, rng.normal(0, 0.1, 3)), float(rng.normal()), 1.0]) for k in range(25)]
+    items = [(k, None if k % 50 == 7 else [*map(float, rng.normal(0, 0.1, 3)), 1.0, float(rng.normal())]) for k in range(300)]
+    u, i = spark.createDataFrame(users, "u long, cf array<double>"), spark.createDataFrame(items, "i long, cf array<double>")
+    dot = np.array([[np.dot(v, x) if v and x else 0.0 for _, x in items] for _, v in users])
+    got = top_items(u, i, [Base("cf", biased=True)], 4).collect()
+    assert {(r.u, r.i, r.rank, round(r.score, 9)) for r in got} == _best(dot, np.ones(dot.shape, bool), 4)
