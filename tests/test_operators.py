@@ -142,3 +142,21 @@ def test_metrics_hand_cases(spark):
     assert pb[(3, 5)].f1 == 0.0 and pb[(4, 5)].ndcg == 0.0   # policy B: zeros count
     s = metrics.summary(metrics.per_user_metrics(preds, truth, (5,))).first()
     assert s.f1 == pytest.approx((pu[(1, 5)].f1 + pu[(2, 5)].f1) / 2)
+
+
+def test_capped_pool_is_neither_sorted_nor_shuffled(spark):
+    """WN-8: the pool's rows are listed where the user's row is; a broadcast join names the items."""
+    items = spark.createDataFrame([(k,) for k in range(40)], "app_id long")
+    users = spark.createDataFrame([(1,), (2,), (3,), (None,)], "author_id long")
+    ranked = rank_items(items).localCheckpoint()
+    order = [r.app_id for r in ranked.orderBy("item_rank").collect()]
+    known = {1: [order[0], order[1], order[6], 999], 2: list(range(40)), 3: []}
+    seen = spark.createDataFrame([(u, a) for u, apps in known.items() for a in apps] * 2, "author_id long, app_id long")
+    pool = candidate_pool(users, ranked, seen, cap=5)
+    got = {}
+    for r in pool.orderBy("item_rank").collect():
+        got.setdefault(r.author_id, []).append(r.app_id)
+    want = {u: [a for a in order if a not in known.get(u, [])][:5] for u in (1, 2, 3, None)}
+    assert got == {u: apps for u, apps in want.items() if apps}
+    plan = pool._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
