@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ludora.sources import csv as C
 from ludora.sources.schemas import REVIEWS_SCHEMA
 
+from .conftest import SF_SMALL
+
 
 def _write(text, name="r.csv", encoding="utf-8"):
     d = tempfile.mkdtemp(prefix="ludora-csv-")
@@ -115,3 +117,17 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     write_csv(spark.createDataFrame(rows, schema), path)
     assert sorted(tuple(r) for r in read_csv(spark, path, schema).collect()) == rows
+
+
+def test_marked_reviews_read_no_text_into_a_join(spark):
+    """Interactions only ask whether a review has a text: the same rows, and the text is a mark before the first join."""
+    from ludora.plans import base
+    from ludora.sources import fixtures
+
+    whole, marked = (fixtures.reviews(spark, SF_SMALL, m) for m in (False, True))
+    flagged = [r.withColumn("content", F.col("content").isNotNull()) for r in (whole, marked)]
+    assert flagged[0].exceptAll(flagged[1]).count() == 0 == flagged[1].exceptAll(flagged[0]).count()
+    assert {r[0] for r in marked.select("content").distinct().collect()} <= {"", None}
+    plan = base.interactions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "repeat(" not in "".join(line for line in plan.splitlines() if "isnotnull(CASE" in line)
+    assert [line for line in plan.splitlines() if "isnotnull(text" in line]
