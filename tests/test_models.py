@@ -168,3 +168,14 @@ def test_fm_features_and_optional_fit(spark):
     model = fit_fm(feats, max_iter=5)
     preds = model.transform(feats).collect()
     assert all(math.isfinite(r.prediction) for r in preds)
+
+
+def test_titles_are_split_once_a_title(spark, tmp_path):
+    """The vectors are made of the distinct titles as written, not of every review again."""
+    rows = spark.createDataFrame([(1, 10, "red gear", 1), (2, 10, "red gear", 1), (1, 11, "blue ring", 0), (2, 12, None, 1)],
+                                 "author_id long, app_id long, title string, is_positive_encoded int")
+    rows.write.parquet(f"{tmp_path}/reviews")
+    train = spark.read.parquet(f"{tmp_path}/reviews")
+    vectors = fit_cbf(train, train.select("app_id", "title").distinct()).vectors
+    assert {r["term"] for r in vectors.collect()} == {"red", "gear", "blue", "ring"}
+    assert vectors.inputFiles() and all("cbf-titles" in f for f in vectors.inputFiles())
