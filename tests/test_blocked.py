@@ -1,6 +1,7 @@
 """The blocked scorer against plain numpy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,24 @@ def test_own_parts_bound_a_score(spark, monkeypatch):
     dot = np.array([[np.dot(v, x) if v and x else 0.0 for _, x in items] for _, v in users])
     got = top_items(u, i, [Base("cf", biased=True)], 4).collect()
     assert {(r.u, r.i, r.rank, round(r.score, 9)) for r in got} == _best(dot, np.ones(dot.shape, bool), 4)
+
+
+def test_barred_pairs_of_a_tile_are_the_seen_and_the_late_ones():
+    seen = [[3, 9, 11], [], [0, 4], [5, 6, 7, 40]]
+    rows = pa.table({"seen": pa.array(seen, pa.list_(pa.int32()))})
+    keys = np.array([0, 3, 5, 6, 11, 12])
+    for cap in (None, 4):
+        allowed = blocked._Allowed(rows, cap)
+        for users in (np.array([0, 2, 3]), np.array([1]), np.arange(4)):
+            row, at = allowed.barred(users, keys)
+            limit = [100 if cap is None else [k for k in range(50) if k not in s][cap - 1] + 1 for s in seen]
+            want = {(r, c) for r, u in enumerate(users) for c, k in enumerate(keys) if k in seen[u] or k >= limit[u]}
+            assert set(zip(row.tolist(), at.tolist(), strict=True)) == want
+
+
+def test_a_chunk_larger_than_k_keeps_ties_in_key_order_and_ends():
+    score = np.array([[0.0] * 30 + [1.0, 1.0, 0.5], [2.0, 1.0, 3.0] + [0.0] * 30])
+    top = blocked._Top(2, 4)
+    top.add(np.arange(2), score, (np.array([1, 0]), np.array([2, 0])), np.arange(33))
+    assert top.items.tolist() == [[30, 31, 32, 1], [0, 1, 3, 4]]
+    assert top.least.tolist() == [0.0, 0.0] and top.most.tolist() == [1.0, 2.0]
