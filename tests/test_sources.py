@@ -131,3 +131,28 @@ def test_marked_reviews_read_no_text_into_a_join(spark):
     plan = base.interactions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "repeat(" not in "".join(line for line in plan.splitlines() if "isnotnull(CASE" in line)
     assert [line for line in plan.splitlines() if "isnotnull(text" in line]
+
+
+def test_texts_come_back_after_the_dedup(spark, tmp_path):
+    """PL-2 over rows that repeat, documents that repeat an id, lack a text or an id: the same rows, and no review is read again for the texts."""
+    import datetime
+
+    from ludora.operators import clean
+    from ludora.plans import base
+    from ludora.sources import fixtures
+
+    def save(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    save("part", [(k, f"title {k}", "PROMO", k, float(k)) for k in range(1, 8)], "p_partkey long, p_name string, p_type string, p_size int, p_retailprice double")
+    save("orders", [(k, k % 3, "5-LOW", datetime.date(2000, 1, 1)) for k in [*range(1, 90), 4, 5]], "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate date")
+    save("documents", [(11, "b"), (11, "a"), (21, "c"), (21, None), (31, None), (41, ""), (51, "whole text"), (None, "lost")], "doc_id long, text string")
+    lines = [(k, 1 + k % 9, n, "R" if k % 2 else "A", "F") for k in range(1, 90) for n in (1, 2, None)]
+    save("lineitem", lines + lines[:40] + [(2, 2, 11, "A", "O"), (None, 1, 1, "A", "F")], "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string")
+    got, want = base.preprocessed(spark, str(tmp_path)), clean.preprocess(fixtures.merged(spark, str(tmp_path)))
+    assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(map(tuple, want.collect()))
+    content = {r["id"]: r["content"] for r in got.collect()}
+    assert (content[11], content[41], content[51]) == ("a", "", "whole text") and not {21, 31} & set(content)
+    assert not any("lineitem" in f for f in got.inputFiles())
