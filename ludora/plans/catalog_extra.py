@@ -132,7 +132,7 @@ def q_hybrids(s, sf):
                 "Hybrid_0.5_0.5_renorm": compare.half_renormalised(n, lo, hi),
                 "Mean_stacker": hybrid.stacked_scores([n["cf"], n["cbf"]], None)}
 
-    top = top_items(u, i, bases, 20, combine, seen, scaled=True)
+    top = top_items(u, i, bases, 20, combine, seen, scaled=True, linear=combine, ends=())
     named = top.join(u.select("u", "author_id"), "u").join(i.select("i", "app_id"), "i")
     return named.select(F.col("label").alias("model"), "author_id", "app_id", "rank", *rnd("score"))
 

@@ -145,3 +145,44 @@ def test_a_chunk_larger_than_k_keeps_ties_in_key_order_and_ends():
     top.add(np.arange(2), score, (np.array([1, 0]), np.array([2, 0])), np.arange(33))
     assert top.items.tolist() == [[30, 31, 32, 1], [0, 1, 3, 4]]
     assert top.least.tolist() == [0.0, 0.0] and top.most.tolist() == [1.0, 2.0]
+
+
+def test_items_are_written_once_and_not_shuffled(spark):
+    """The plan of a task's rows holds no items: a block reads them from a written table, in order."""
+    u = spark.range(3000).select(F.col("id").alias("u"), F.array(F.lit(1.0)).alias("cf"))
+    i = spark.range(2500).select(F.col("id").alias("i"), F.array(F.col("id").cast("double")).alias("cf"))
+    dealt = blocked._dealt(blocked._with_seen(u, None), i, [Base("cf")], Base("cf"), 3)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Generate" not in plan
+    rows = dealt.where("is_item").collect()
+    for block in {r.block for r in rows}:
+        assert [r.key for r in rows if r.block == block] == list(range(2499, -1, -1))
+
+
+@pytest.mark.parametrize("scaled", [True, False])
+def test_weighted_sums_find_the_same_pairs_as_whole_matrices(spark, monkeypatch, scaled):
+    """Labels that are affine in the base scores, also with negative weights and a logistic function over them, ties included."""
+    monkeypatch.setattr(blocked, "TILE_ITEMS", 16)
+    users, u, items, i, seen, s = _tables(spark, np.random.default_rng(11), 45, 120)
+    dot, cos, sparse = _raw(users, items)
+    ok = np.ones(dot.shape, bool)
+    for a, b in seen:
+        ok[a, b] = False
+    bases = [Base("cf"), Base("cbf", "sparse")]
+
+    def linear(raw, lo, hi):
+        cf = (raw["cf"] - lo["cf"]) / np.where(hi["cf"] > lo["cf"], hi["cf"] - lo["cf"], 1.0) if scaled else raw["cf"]
+        return {"one": 2.0 * cf + 1.0, "two": 0.3 * cf + 0.7 * raw["cbf"], "less": 5.0 - raw["cbf"], "odds": 3.0 * cf - raw["cbf"]}
+
+    def combine(raw, lo, hi):
+        z = linear(raw, lo, hi)
+        return {**z, "odds": 1.0 / (1.0 + np.exp(-z["odds"]))}
+
+    got = top_items(u, i, bases, 4, combine, s, scaled=scaled, linear=linear, logistic=("odds",), ends=("odds",)).collect()
+    lo, hi = ({"cf": np.array([end(want[ok[a]]) if ok[a].any() else 0 for a, want in enumerate(dot)])[:, None]} for end in (np.min, np.max))
+    for label, score in combine({"cf": dot, "cbf": sparse}, lo, hi).items():
+        rows = [r for r in got if r.label == label]
+        assert {(r.u, r.i, r.rank, round(r.score, 9)) for r in rows} == _best(score, ok, 4)
+        for r in rows:
+            ends = (pytest.approx(score[r.u][ok[r.u]].min()), pytest.approx(score[r.u][ok[r.u]].max())) if label == "odds" else (None, None)
+            assert (r.least, r.most) == ends
