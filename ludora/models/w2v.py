@@ -64,11 +64,11 @@ def w2v_recommend(model: W2VModel, users: DataFrame, ranked_items: DataFrame, n:
     from ..operators.blocked import Base, top_items
 
     liked = model.likes.join(users.select("author_id").distinct(), "author_id", "left_semi")
-    prof = (liked.join(model.items.select("app_id", "unit"), "app_id")
-            .select("author_id", F.posexplode("unit").alias("d", "x"))
-            .groupBy("author_id", "d").agg(F.sum("x").alias("x"))
-            .groupBy("author_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "x"))),
-                                                  lambda s: s["x"]).alias("v")))
+    # a sum a dimension: a user's partial profile is one row, not one a dimension
+    dim = model.items.agg(F.max(F.size("unit"))).first()[0] or 0
+    sums = (liked.join(model.items.select("app_id", "unit"), "app_id").where("unit is not null")
+            .groupBy("author_id").agg(F.count(F.lit(1)), *(F.sum(F.get("unit", F.lit(d))).alias(f"x{d}") for d in range(dim))))
+    prof = sums.select("author_id", F.array(*(f"x{d}" for d in range(dim))).cast("array<double>").alias("v"))
     u = written(dense_index(prof, "author_id", index_col="u").join(prof, "author_id"), "w2v-users")
     known = ranked_items.join(model.items.select("app_id"), "app_id", "left_semi")
     i = written(dense_index(known, "item_rank", index_col="i").join(known, "item_rank").select("app_id", "i"), "w2v-items")
