@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ludora.models import fm
 from ludora.operators.candidates import rank_items
+from ludora.session import checkpoint_dir
 
 RANK = 3
 
@@ -94,3 +96,15 @@ def test_fit_falls_and_recommends(spark, data):
     again = fm.fit_machine(train, items, rank=RANK, epochs=1, batches=2)
     assert again.losses[0] == pytest.approx(model.losses[0], abs=1e-12)
     assert fm.fit_machine(train.limit(0), items, rank=RANK, epochs=1, batches=1).params.where(F.col("f") >= 0).count() == 0
+
+
+def test_a_fit_keeps_one_parameter_table_and_rows_stay_whole(spark, data):
+    """Tables of past steps leave the disk, and a prediction neither explodes rows nor groups them."""
+    _, train, _, items = data
+    folder = Path(checkpoint_dir(spark).removeprefix("file:")) / "ludora-written"
+    old = set(folder.glob("*-fm-params"))
+    model = fm.fit_machine(train.limit(40), items, rank=2, epochs=1, batches=2)
+    assert len(set(folder.glob("*-fm-params")) - old) == 1 and model.params.count() > 1
+    frame = spark.createDataFrame([(1, 1.0, [0, 1])], "row long, y double, fs array<long>")
+    plan = fm.predicted(frame, model.params, 0.0, 2, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
