@@ -214,6 +214,31 @@ def test_lines_of_one_hot_band(spark, monkeypatch):
     assert got == {i for i, _ in gone}
 
 
+def test_lines_that_share_a_band_by_chance_do_not_meet_as_text(spark, monkeypatch):
+    """One band, few different shingles: only pairs whose sketches allow it are compared as texts, and none that is near is lost, also by prefixes."""
+    rng = random.Random(29)
+    data = []
+    for i in range(150):
+        low = "".join(rng.choices("abc", k=rng.randint(60, 90)))
+        data += [(2 * i, low), (2 * i + 1, low[:40] + "z" + low[41:] if i % 2 else low + "abc")]
+    gone = {i for i, _ in brute_lines(data)}
+    assert len(gone) > 100
+    monkeypatch.setattr(lines, "_bands", lambda firsts, n: F.array(F.lit(1).cast("long")))
+    near, compared = lines._near, []
+
+    def counted(pairs, texts, threshold):
+        compared.append(pairs.count())
+        return near(pairs, texts, threshold)
+
+    monkeypatch.setattr(lines, "_near", counted)
+    for most in (10_000, 1):
+        monkeypatch.setattr(lines, "MOST_COMPARED", most, raising=False)
+        compared.clear()
+        got = {r.doc_id for r in dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).where("n_removed > 0").collect()}
+        assert got == gone
+        assert sum(compared) < 2 * len(data)
+
+
 def overlapping(line):
     """The usual shingles, whatever the operator's are: five characters from each place."""
     low = line.lower()
