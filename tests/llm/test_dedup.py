@@ -288,3 +288,21 @@ def test_empty_table(spark, operator):
 def test_native_line_dedup_has_no_python(docs):
     plan = dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_sketches_are_exploded_by_compiled_code(spark):
+    rng = random.Random(11)
+    texts = [words(rng, n) for n in (1, 3, 40, 300)] + ["a", "aaaaaaaaaaaa", "Ünï ß" * 7]
+    df = spark.createDataFrame(list(enumerate(texts)), "rid long, line string")
+    sketches = lines._sketches(df)
+    plan = sketches._jdf.queryExecution().executedPlan().toString()
+    generators = [x for x in plan.splitlines() if "Generate " in x]
+    assert generators and not any("lambda" in x for x in generators), plan
+    found = {r["rid"]: r["sketch"] for r in sketches.collect()}
+    for rid, text in enumerate(texts):
+        chars = text.lower().encode("utf-32-be")
+        places = range(0, max(len(chars) - 4 * lines.SHINGLE, 0) + 1, 4)
+        want = [0] * lines.SKETCH_WORDS
+        for h in {xxhash.xxh64_intdigest(chars[i: i + 4 * lines.SHINGLE], seed=42) for i in places}:
+            want[h >> 6 & lines.SKETCH_WORDS - 1] ^= 1 << (h & 63)
+        assert [x % (1 << 64) for x in found[rid]] == want
