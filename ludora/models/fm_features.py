@@ -12,10 +12,11 @@ feature count is bounded).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import FMRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import clean_text_compact
 from ..operators.split import dense_index
@@ -23,14 +24,26 @@ from ..operators.split import dense_index
 BLOCKS = ("author", "app", "title")
 
 
+def _one_hot(entries: str, size: int) -> Column:
+    """Sparse vector with ones at the sorted places `entries`.
+
+    It is read from its text by the schema of vectors: Spark's encoder and assembler would list
+    every feature by name in the column's metadata, on the driver.
+    """
+    ones = F.transform(entries, lambda _: F.lit(1.0))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"), F.col(entries).cast("array<int>").alias("indices"), ones.alias("values"))
+    read = F.from_json(F.to_json(F.struct(vector.alias("v"))), StructType([StructField("v", VectorUDT())]))
+    return read["v"].alias("features", metadata={"ml_attr": {"num_attrs": size}})
+
+
 def build_features(interactions: DataFrame, items: DataFrame):
     """-> (training rows with `features` + `label`, dimension summary row).
 
     Each block is a distributed dense index joined to the rows; only the three
-    block sizes reach the driver.  The encoder drops the index one past a
-    block's last, which stands for "none" (an unknown item has no title, and
-    titles of fewer than two characters are no token), so a block is exactly
-    as wide as its index.
+    block sizes reach the driver, and the column's metadata holds the number of
+    features, not their names.  A block is exactly as wide as its index; a row without a
+    value has no entry in it (an unknown item has no title, and titles of fewer than two
+    characters are no token).
     """
     token = clean_text_compact("title")
     df = (interactions.select("author_id", "app_id", "is_positive_encoded")
@@ -41,12 +54,11 @@ def build_features(interactions: DataFrame, items: DataFrame):
     for block in BLOCKS:
         index = dense_index(df, block, index_col=f"{block}_ix")
         sizes.append(index.count())
-        out = out.join(index, block, "left").withColumn(f"{block}_ix", F.coalesce(f"{block}_ix", F.lit(sizes[-1])).cast("double"))
-    spark = df.sparkSession
-    ends = spark.createDataFrame([tuple(float(n) for n in sizes)], ", ".join(f"{b}_ix double" for b in BLOCKS))
-    encoder = OneHotEncoder(inputCols=ends.columns, outputCols=[f"{b}_oh" for b in BLOCKS], dropLast=True).fit(ends)
-    features = VectorAssembler(inputCols=[f"{b}_oh" for b in BLOCKS], outputCol="features")
-    out = features.transform(encoder.transform(out)).withColumn("label", F.coalesce("is_positive_encoded", F.lit(0)).cast("double"))
+        out = out.join(index, block, "left")
+    spark, ends = df.sparkSession, [sum(sizes[:k]) for k in range(len(sizes))]
+    entries = F.filter(F.array(*(F.col(f"{block}_ix") + F.lit(end) for block, end in zip(BLOCKS, ends, strict=True))), lambda x: x.isNotNull())
+    out = out.withColumn("_entries", entries).withColumn("label", F.coalesce("is_positive_encoded", F.lit(0)).cast("double"))
+    out = out.withColumn("features", _one_hot("_entries", sum(sizes)))
     summary = spark.createDataFrame(
         [(n_rows, *sizes, sum(sizes))],
         "n_rows long, n_user_features long, n_item_features long, n_title_features long, n_features long")

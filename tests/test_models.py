@@ -170,6 +170,21 @@ def test_fm_features_and_optional_fit(spark):
     assert all(math.isfinite(r.prediction) for r in preds)
 
 
+def test_fm_features_do_not_list_each_feature_on_the_driver(spark):
+    from ludora.models.fm_features import build_features
+    rows = spark.createDataFrame([(1, 10, 1), (2, 10, 0), (2, 11, None), (None, 12, 1), (3, None, 1), (3, 13, 1), (3, 13, 1)], "author_id long, app_id long, is_positive_encoded int")
+    items = spark.createDataFrame([(10, "Red Gear"), (11, "x"), (12, None), (13, "red-gear"), (14, "never met")], "app_id long, title string")
+    feats, summary = build_features(rows, items)
+    assert summary.first() == (7, 3, 4, 1, 8)
+    meta = feats.schema["features"].metadata["ml_attr"]
+    assert meta.get("num_attrs") == 8 and "attrs" not in meta
+    got = sorted((str(r.author_id), str(r.app_id), sorted(int(x) for x in r.features.toArray().nonzero()[0]), float(r.features.toArray().sum()), r.label) for r in feats.collect())
+    user, item = {1: 0, 2: 1, 3: 2}, {10: 3, 11: 4, 12: 5, 13: 6}
+    want = [(str(u), str(a), [x for x in (user.get(u), item.get(a), 7 if a in (10, 13) else None) if x is not None], y)
+            for u, a, y in ((1, 10, 1.0), (2, 10, 0.0), (2, 11, 0.0), (None, 12, 1.0), (3, None, 1.0), (3, 13, 1.0), (3, 13, 1.0))]
+    assert got == sorted((u, a, x, float(len(x)), y) for u, a, x, y in want)
+
+
 def test_titles_are_split_once_a_title(spark, tmp_path):
     """The vectors are made of the distinct titles as written, not of every review again."""
     rows = spark.createDataFrame([(1, 10, "red gear", 1), (2, 10, "red gear", 1), (1, 11, "blue ring", 0), (2, 12, None, 1)],
