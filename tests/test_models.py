@@ -194,3 +194,27 @@ def test_titles_are_split_once_a_title(spark, tmp_path):
     vectors = fit_cbf(train, train.select("app_id", "title").distinct()).vectors
     assert {r["term"] for r in vectors.collect()} == {"red", "gear", "blue", "ring"}
     assert vectors.inputFiles() and all("cbf-titles" in f for f in vectors.inputFiles())
+
+
+def test_stacking_features_leave_the_fits_shuffles_behind(spark, tmp_path, monkeypatch):
+    """RC-14 in written steps: the pairs and their CF scores once, the fit with a checkpoint each round."""
+    from types import SimpleNamespace
+
+    from ludora.models import mf
+    from ludora.plans import compare
+
+    rows = spark.createDataFrame([(1, 1, 10, 1), (2, 1, 10, 0), (3, 1, 11, None), (4, 2, 10, 0), (5, 2, 12, 1), (6, 3, 12, 1), (7, 3, 11, 1)],
+                                 "id long, author_id long, app_id long, is_positive_encoded int")
+    items = spark.createDataFrame([(10, "red gear"), (11, "red ring"), (12, None)], "app_id long, title string")
+    steps, intervals, als = [], [], mf.ALS
+    monkeypatch.setattr(mf, "ALS", lambda **given: (intervals.append(given["checkpointInterval"]), als(**given))[1])
+    monkeypatch.setattr(compare, "written", lambda df, label, write=compare.written: (steps.append(label), write(df, label))[1])
+    out = compare.stacking_two_feature_set(SimpleNamespace(spark=spark, root=str(tmp_path), train=rows, items=items)).collect()
+    assert steps == ["train-pairs", "cf-scored"] and intervals == [1]
+    # the first row by id of a pair; user 1 likes item 10, user 2 item 12 (no words), user 3 items 11 and 12
+    cosine = 1 / (1 + (math.log(4 / 2) + 1) ** 2 / (math.log(4 / 3) + 1) ** 2)
+    want = {(1, 10): (1, 1.0), (1, 11): (0, cosine), (2, 10): (0, 0.0), (2, 12): (1, 0.0), (3, 12): (1, 0.0), (3, 11): (1, 0.5)}
+    assert len(out) == len(want)
+    for r in out:
+        label, mean = want[r.author_id, r.app_id]
+        assert r.label == label and r.cbf_mean == pytest.approx(mean) and math.isfinite(r.cf)
