@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,54 @@ def test_weighted_sums_find_the_same_pairs_as_whole_matrices(spark, monkeypatch,
         for r in rows:
             ends = (pytest.approx(score[r.u][ok[r.u]].min()), pytest.approx(score[r.u][ok[r.u]].max())) if label == "odds" else (None, None)
             assert (r.least, r.most) == ends
+
+
+@pytest.mark.parametrize("kind", ["random", "close", "equal", "huge"])
+@pytest.mark.parametrize("cap", [None, 900])
+def test_a_single_dot_is_screened_in_single_precision(monkeypatch, kind, cap):
+    """All pairs are looked at in single precision, few in double; the best are those of double precision."""
+    rng = np.random.default_rng(5)
+    n, m, d, k = 60, 2500, 6, 7
+    u, v = rng.normal(size=(n, d)), rng.normal(size=(m, d))
+    if kind == "close":  # scores differ by less than single precision holds, around the rounding to 9 digits
+        u, v = np.abs(u) + 1, np.ones((m, d)) + rng.integers(0, 40, (m, d)) * 3e-10
+    if kind == "equal":
+        v = v[rng.integers(0, 3, m)]
+    if kind == "huge":
+        u[: n // 2] *= 1e25
+        v *= 1e12
+    v = v[np.argsort(-np.linalg.norm(v, axis=1), kind="stable")]
+    key, known_u, known_v = rng.permutation(m), rng.random(n) > 0.1, rng.random(m) > 0.02
+    seen = [rng.choice(m, int(rng.integers(0, 40)), replace=False) for _ in range(n)]
+    seen[3] = np.setdiff1d(np.arange(m), [4, 9])  # fewer than k are left
+    vector = pa.list_(pa.float64())
+    listed = lambda x, known: pa.array([r.tolist() if ok else None for r, ok in zip(x, known)], vector)
+
+    def side(item, keys, vectors, seen):
+        size = len(keys)
+        return pa.table({"block": pa.array([0] * size, pa.int32()), "is_item": pa.array([item] * size), "pos": pa.array([0.0] * size), "key": pa.array(keys, pa.int64()),
+                         "cf": vectors, "seen": pa.array(seen, pa.list_(pa.int32())), "lo": pa.nulls(size, vector), "hi": pa.nulls(size, vector)}).combine_chunks()
+
+    items = side(True, key.tolist(), listed(v, known_v), [None] * m)
+    rows = [*side(False, list(range(n)), listed(u, known_u), [x.tolist() for x in seen]).to_batches(), *(x for a in range(0, m, 500) for x in items.slice(a, 500).combine_chunks().to_batches())]
+    scored, raw = [], blocked._raw
+    monkeypatch.setattr(blocked, "_raw", lambda *given: (scored.append(len(given[2]) * len(given[3])), raw(*given))[1])
+    monkeypatch.setattr(blocked, "_dealt", lambda users, items, bases, order, k, run, schema: run)
+    monkeypatch.setattr(blocked, "_with_seen", lambda users, seen: users)
+    monkeypatch.setattr(blocked, "written", lambda df, label: df)
+    got = pa.Table.from_batches(list(top_items(None, None, [Base("cf")], k, cap=cap)(iter(rows))))
+    # near or equal scores are all scored again, and single precision cannot hold huge ones
+    assert kind != "random" or sum(scored) < n * m / 2
+    score = np.einsum("ad,bd->ab", u * known_u[:, None], v * known_v[:, None])
+    want = {}
+    for a in range(n):
+        left = set(np.setdiff1d(np.arange(m), seen[a])[:cap].tolist())
+        order = sorted((b for b in range(m) if int(key[b]) in left), key=lambda b: (-round(score[a, b], 9), key[b]))[:k]
+        want[a] = [(int(key[b]), score[a, b]) for b in order]
+    if kind == "huge":  # the last digits of such scores are noise
+        for a in range(n):
+            assert got.filter(pa.compute.equal(got["u"], a))["score"].to_pylist() == pytest.approx([s for _, s in want[a]], rel=1e-9)
+        return
+    assert {(r["u"], r["rank"], r["i"]) for r in got.to_pylist()} == {(a, x + 1, i) for a in want for x, (i, _) in enumerate(want[a])}
+    for r in got.to_pylist():
+        assert r["score"] == pytest.approx(want[r["u"]][r["rank"] - 1][1], rel=1e-12, abs=1e-12)
